@@ -102,17 +102,19 @@ def exact_quantiles(df: DataFrame, keys: list[str], wanted: dict[str, tuple[str,
 
 
 def aggregate_with_quantiles(
-    df: DataFrame, keys: list[str], aggs: list[Column], wanted: dict[str, tuple[str, float]], exact: bool = True
+    df: DataFrame, keys: list[str], aggs: list[Column], wanted: dict[str, tuple[str, float]], exact: bool = True,
+    values: DataFrame | None = None,
 ) -> DataFrame:
     """`groupBy(keys).agg(aggs)` plus quantile columns.
 
-    exact=False takes the one-pass sketch (`percentile_approx`, bounded state) instead.
+    exact=False takes the one-pass sketch (`percentile_approx`, bounded state) instead. `values` may name a cheaper
+    table with the same rows (keys and value columns), so that the quantiles need not repeat the joins behind `df`.
     """
     if not exact:
         sketches = [F.percentile_approx(c, p, 10000).cast("double").alias(n) for n, (c, p) in wanted.items()]
         return df.groupBy(*keys).agg(*aggs, *sketches)
     base = df.groupBy(*keys).agg(*aggs)
-    quantiles = exact_quantiles(df, keys, wanted)
+    quantiles = exact_quantiles(df if values is None else values, keys, wanted)
     if not keys:  # one row each: join on a constant
         one = F.lit(1).alias("__one")
         return base.select("*", one).join(quantiles.select("*", one), "__one", "left").drop("__one")

@@ -97,26 +97,32 @@ def height_class_open(floors) -> F.Column:
 
 
 def property_features_warehouse(
-    sales: DataFrame, parcels: DataFrame, permits: DataFrame, exact: bool = True
+    sales: DataFrame, parcels: DataFrame, permits: DataFrame, exact: bool = True, with_neighborhood: bool = True
 ) -> DataFrame:
-    """Warehouse sales with parcel, neighbourhood and zip columns; every sale is kept."""
+    """Warehouse sales with parcel, neighbourhood and zip columns; every sale is kept.
+
+    The neighbourhood columns cost two more passes over the sales; a reader that needs none leaves them out.
+    """
     c = F.col
     parcel = parcels.select(
         "parcel_id", "lot_area_sqft", "building_area_sqft", "commercial_area_sqft", "office_area_sqft",
         "retail_area_sqft", "num_floors", "assessed_total", "assessed_land", "floor_area_ratio", "building_age",
         "zoning_district", "building_class", "owner_name", "latitude", "longitude")
-    hoods = neighborhood_stats(sales, with_ppsf=True, count_rows=True, exact=exact)
     zips = zip_permit_activity(permits).select(
         "zip_code", c("permit_count").alias("zip_permit_count"), c("total_permit_value").alias("zip_total_permit_value"),
         c("new_building_permits").alias("zip_new_building_permits"))
     lat, lon = settings.LANDMARKS[settings.CBD]
-    return (
-        sales.join(parcel, "parcel_id", "left").join(hoods, "neighborhood", "left").join(zips, "zip_code", "left")
+    out = (
+        sales.join(parcel, "parcel_id", "left").join(zips, "zip_code", "left")
         .fillna(0, ["zip_permit_count", "zip_total_permit_value", "zip_new_building_permits"])
         .withColumns({
             "dist_to_cbd_km": haversine_km(c("latitude"), c("longitude"), F.lit(lat), F.lit(lon)),
-            "price_vs_neighborhood": ratio(c("sale_price"), c("neighborhood_avg_price")),
             "height_category": height_class_open(c("num_floors")),
             "commercial_ratio": ratio(c("commercial_area_sqft"), c("building_area_sqft")),
         })
     )
+    if not with_neighborhood:
+        return out
+    hoods = neighborhood_stats(sales, with_ppsf=True, count_rows=True, exact=exact)
+    return out.join(hoods, "neighborhood", "left").withColumn(
+        "price_vs_neighborhood", ratio(c("sale_price"), c("neighborhood_avg_price")))

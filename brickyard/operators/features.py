@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from brickyard import settings
 from brickyard.functions.scalars import flag, haversine_km, has, number, ratio, right_closed_bins
 from brickyard.operators import encoding, enrichment
+from brickyard.session import written
 
 C = F.col
 LOG_COLUMNS = ["assesstot", "assessland", "bldgarea", "lotarea"]
@@ -74,7 +75,8 @@ def engineer_features(
 ) -> DataFrame:
     """The whole feature table: merged, encoded and imputed.
 
-    Imputation looks at the data, so this runs aggregate jobs while the plan is built; the rows stay on Spark.
+    Imputation needs the gaps and medians of the encoded table, so that table is written once and the small
+    aggregates read single columns of it.
     """
     out = base_features(parcels, sales, permits, violations, as_of)
     if has(out, "borough_name"):
@@ -83,4 +85,4 @@ def engineer_features(
         out = encoding.label_encode(out, "building_class_category")
     if has(out, "neighborhood", "sale_price"):
         out = encoding.target_encode(out, "neighborhood", "sale_price", fold_key)
-    return encoding.handle_sparseness(out)
+    return encoding.handle_sparseness(written(out))

@@ -74,9 +74,13 @@ def property_valuations_warehouse(features: DataFrame) -> DataFrame:
 
 
 def market_segments_warehouse(
-    features: DataFrame, as_of: dt.date = settings.AS_OF, min_sales: int = 10, exact: bool = True
+    features: DataFrame, as_of: dt.date = settings.AS_OF, min_sales: int = 10, exact: bool = True,
+    sales: DataFrame | None = None,
 ) -> DataFrame:
-    """Market metrics by neighbourhood and borough with at least `min_sales` sales, dearest first."""
+    """Market metrics by neighbourhood and borough with at least `min_sales` sales, dearest first.
+
+    With the staged `sales` behind the features at hand, the price medians come from them and skip the joins.
+    """
     c = F.col
     height = c("height_category")
 
@@ -103,7 +107,7 @@ def market_segments_warehouse(
         year_ppsf(as_of.year - 1).alias("prior_year_ppsf"),
     ]
     medians = {"median_sale_price": ("sale_price", 0.5), "median_ppsf": ("price_per_sqft", 0.5)}
-    out = aggregate_with_quantiles(features, ["neighborhood", "borough_name"], aggs, medians, exact)
+    out = aggregate_with_quantiles(features, ["neighborhood", "borough_name"], aggs, medians, exact, values=sales)
     return out.where(c("total_transactions") >= min_sales).withColumns({
         "yoy_ppsf_change": ratio(c("current_year_ppsf") - c("prior_year_ppsf"), c("prior_year_ppsf")),
         "price_cv": ratio(c("std_sale_price"), c("avg_sale_price")),

@@ -263,13 +263,18 @@ features AS (
 WAREHOUSE = (SALES, PLUTO, PERMITS, W_SALES, W_PARCELS, W_PERMITS, W_FEATURES)
 
 
-def warehouse_features(spark, sf_dir, with_class=True):
+def warehouse_sales(spark, sf_dir, with_class=True):
     sales = adapters.sales(spark, sf_dir, with_class)
     if not with_class:
         sales = sales.withColumn("building_class_category", F.lit(None).cast("string"))
+    return staging.stage_sales_warehouse(sales)
+
+
+def warehouse_features(spark, sf_dir, with_class=True, with_neighborhood=True):
+    sales = warehouse_sales(spark, sf_dir, with_class)
     parcels = staging.stage_parcels_warehouse(adapters.pluto(spark, sf_dir)).drop("bbl")
     permits = staging.stage_permits_warehouse(adapters.permits(spark, sf_dir))
-    return enrichment.property_features_warehouse(staging.stage_sales_warehouse(sales), parcels, permits)
+    return enrichment.property_features_warehouse(sales, parcels, permits, with_neighborhood=with_neighborhood)
 
 
 @query("jn02_property_features", ctes(*WAREHOUSE) + """
@@ -410,4 +415,5 @@ FROM metrics ORDER BY avg_sale_price DESC""",
               "transaction_volume_score")
 def mart_segments_warehouse(spark, sf_dir):
     """23 metrics per neighbourhood and borough, at least ten sales (AG6, TK3)."""
-    return marts.market_segments_warehouse(warehouse_features(spark, sf_dir, False))
+    return marts.market_segments_warehouse(
+        warehouse_features(spark, sf_dir, False, with_neighborhood=False), sales=warehouse_sales(spark, sf_dir, False))

@@ -10,6 +10,7 @@ from brickyard.operators import encoding, features
 from brickyard.plans.oracle_views import PERMITS, PLUTO, SALES, STAGED_PLUTO, STAGED_SALES, VIOLATIONS, haversine
 from brickyard.plans.queries_layers import staged_parcels, staged_sales
 from brickyard.plans.registry import ctes, query
+from brickyard.session import written
 from brickyard.sources import adapters
 
 C = F.col
@@ -48,9 +49,15 @@ def featured(spark, sf_dir, with_class=True):
                                   adapters.permits(spark, sf_dir), adapters.violations(spark, sf_dir))
 
 
-def scored(spark, sf_dir):
+def stored(spark, sf_dir, *columns):
+    """The named feature columns as a written table, for readers that pass over them more than once."""
+    return written(featured(spark, sf_dir, False), list(columns))
+
+
+def scored(spark, sf_dir, features_table=None):
     pvn = C("price_vs_neighborhood")
-    out = featured(spark, sf_dir, False).withColumns({"distress_probability": 1 / (1 + pvn * pvn), "cluster": C("sale_quarter") - 2})
+    out = featured(spark, sf_dir, False) if features_table is None else features_table
+    out = out.withColumns({"distress_probability": 1 / (1 + pvn * pvn), "cluster": C("sale_quarter") - 2})
     return out.withColumn("risk_tier", pages.risk_tier(C("distress_probability")))
 
 
@@ -252,7 +259,9 @@ SELECT cluster, count(sale_price) AS n_sales, median(price_per_sqft) AS median_p
        median(dist_to_grand_central_km) AS median_dist_to_cbd_km FROM scored GROUP BY 1""",
        floats="median_price_per_sqft median_gross_square_feet median_building_age median_dist_to_cbd_km")
 def cluster_medians(spark, sf_dir):
-    return pages.cluster_medians(scored(spark, sf_dir))
+    table = stored(spark, sf_dir, "sale_quarter", "sale_price", "price_per_sqft", "gross_square_feet", "building_age",
+                   "dist_to_cbd_km", "price_vs_neighborhood")
+    return pages.cluster_medians(scored(spark, sf_dir, table))
 
 
 @query("ag12_cluster_sizes", ctes(*SCORED_ALL) + "SELECT cluster, count(*) AS n_properties FROM scored GROUP BY 1")
@@ -326,7 +335,8 @@ SELECT neighborhood, avg(sale_price) AS avg_price, count(sale_price) AS n_transa
 FROM featured GROUP BY 1""",
        floats="avg_price avg_ppsf avg_building_age avg_dist_cbd centroid_lat centroid_lon median_price median_ppsf")
 def neighborhood_rollup(spark, sf_dir):
-    return pages.neighborhood_rollup(featured(spark, sf_dir, False))
+    return pages.neighborhood_rollup(stored(spark, sf_dir, "neighborhood", "sale_price", "price_per_sqft", "building_age",
+                                            "dist_to_cbd_km", "latitude", "longitude"))
 
 
 @query("tk02_highest_risk", ctes(*SCORED_ALL) + """

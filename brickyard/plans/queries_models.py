@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from brickyard.operators import distress, forecast, risk, series
 from brickyard.plans.oracle_views import HOLDINGS, MACRO, SALES, STAGED_SALES
 from brickyard.plans.queries_layers import staged_sales
-from brickyard.plans.queries_market import FEATURES, featured
+from brickyard.plans.queries_market import FEATURES, stored
 from brickyard.plans.registry import ctes, query
 from brickyard.sources import adapters, extracts
 
@@ -174,6 +174,7 @@ def law_sql(m: str, s: str) -> str:
     return ", ".join(out)
 
 
+MONEY = dict.fromkeys("value expected_value std_value p5 p25 p50 p75 p95 var_95 var_99 cvar_95".split(), 1)
 LAW = "value drift vol expected_value std_value expected_return p5 p25 p50 p75 p95 var_95 var_99 cvar_95 prob_loss prob_gain_20pct sharpe_ratio"
 
 
@@ -206,7 +207,7 @@ _T = "(CAST(month AS DOUBLE) / 12)"
 
 @query("rk03_value_projection", ctes(HOLDINGS, "steps AS (SELECT unnest(generate_series(0, 60, 12)) AS month)") + f"""
 SELECT *, {law_sql(f'((drift - vol * vol / 2) * {_T})', f'(vol * sqrt({_T}))')} FROM holdings, steps""",
-       floats=LAW, digits=4)
+       floats=LAW, digits=MONEY)
 def value_projection(spark, sf_dir):
     """Yearly value law of every holding over five years (RK3)."""
     return risk.project_values(adapters.holdings(spark, sf_dir), months=60, every=12)
@@ -222,7 +223,7 @@ MACRO_PATH = {"rate_hike": True, "rate_impact": [-0.01, -0.02], "recession": Tru
 rows_ AS (SELECT h.*, CAST(y * 12 AS INT) AS month, shift, time FROM holdings h, years
           UNION ALL SELECT *, 0, CAST(0 AS DOUBLE), CAST(0 AS DOUBLE) FROM holdings)""") + f"""
 SELECT portfolio_id, holding_id, value, drift, vol, month,
-       {law_sql('(drift * CAST(month AS DOUBLE) / 12 + shift - vol * vol / 2 * time)', '(vol * sqrt(time))')} FROM rows_""", floats=LAW, digits=4)
+       {law_sql('(drift * CAST(month AS DOUBLE) / 12 + shift - vol * vol / 2 * time)', '(vol * sqrt(time))')} FROM rows_""", floats=LAW, digits=MONEY)
 def macro_projection(spark, sf_dir):
     """The same under a rate rise and a recession (RK4)."""
     return risk.project_values(adapters.holdings(spark, sf_dir), months=60, macro=MACRO_PATH, every=12)
@@ -234,7 +235,7 @@ def macro_projection(spark, sf_dir):
   ('Stress Test (GFC-like)', CAST(0 AS DOUBLE), CAST(-0.08 AS DOUBLE), CAST(2 AS DOUBLE)),
   ('Recovery', CAST(0.04 AS DOUBLE), NULL, CAST(1.1 AS DOUBLE))) AS t(scenario, shift, fixed, factor)),
 grid AS (SELECT portfolio_id, holding_id, value, coalesce(fixed, drift + shift) AS drift, vol * factor AS vol, scenario FROM holdings, scenarios)""") + f"""
-SELECT *, {law_sql('((drift - vol * vol / 2) * 5)', '(vol * sqrt(CAST(5 AS DOUBLE)))')} FROM grid""", floats=LAW, digits=4)
+SELECT *, {law_sql('((drift - vol * vol / 2) * 5)', '(vol * sqrt(CAST(5 AS DOUBLE)))')} FROM grid""", floats=LAW, digits=MONEY)
 def scenario_grid(spark, sf_dir):
     return risk.scenario_grid(adapters.holdings(spark, sf_dir))
 
@@ -269,7 +270,8 @@ distress AS (SELECT l.*, CAST(coalesce(price_vs_neighborhood < CAST(0.7 AS DOUBL
 
 
 def labelled(spark, sf_dir):
-    return distress.distress_labels(featured(spark, sf_dir, False), adapters.violations(spark, sf_dir))
+    table = stored(spark, sf_dir, "sale_id", "bbl", "price_vs_neighborhood", "building_age", "is_recently_renovated", "price_per_sqft")
+    return distress.distress_labels(table, adapters.violations(spark, sf_dir))
 
 
 @query("ds01_distress_labels", ctes(*DISTRESS) + """
@@ -320,4 +322,6 @@ SELECT sale_id, bbl, score AS propensity_to_sell_score, CASE WHEN score <= 0 THE
 FROM s""", floats="propensity_to_sell_score")
 def propensity_to_sell(spark, sf_dir):
     """Owner, turnover, price and age signals (DS8, JN7, AG20)."""
-    return distress.propensity_to_sell(featured(spark, sf_dir, False)).select("sale_id", "bbl", "propensity_to_sell_score", "sell_likelihood")
+    table = stored(spark, sf_dir, "sale_id", "bbl", "ownername", "neighborhood", "sale_date", "price_vs_neighborhood", "building_age",
+                   "is_recently_renovated")
+    return distress.propensity_to_sell(table).select("sale_id", "bbl", "propensity_to_sell_score", "sell_likelihood")

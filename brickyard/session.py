@@ -1,8 +1,9 @@
-"""Session defaults and the checkpoint folder."""
+"""Session defaults and intermediate tables."""
 
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -17,30 +18,37 @@ def build_session(name: str = "brickyard", cores: str | int = "*", **conf) -> Sp
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "12g")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
+        .config("spark.sql.execution.arrow.pyspark.enabled", "true")
     )
     for key, value in conf.items():
         builder = builder.config(key.replace("__", "."), value)
     return builder.getOrCreate()
 
 
-def checkpoint_ready(spark: SparkSession) -> None:
-    """Make sure `DataFrame.checkpoint` has a folder that outlives an executor.
+def checkpoint_folder(spark: SparkSession) -> str:
+    """The folder for intermediate tables that must outlive an executor.
 
     The cluster names it in `spark.checkpoint.dir`. Only a local master may fall back to a
     temporary folder, because there the driver and the tasks share one disk.
     """
-    context = spark.sparkContext
-    if context.getCheckpointDir():
-        return
-    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir")
-    if folder is None:
-        if not context.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-        folder = tempfile.mkdtemp(prefix="brickyard-checkpoint-")
-    context.setCheckpointDir(folder)
-
-
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint: iterative jobs restart from here, not from round one."""
-    checkpoint_ready(df.sparkSession)
-    return df.checkpoint(eager=True)
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if named:
+        return named
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+    folder = tempfile.mkdtemp(prefix="brickyard-")
+    spark.conf.set("spark.checkpoint.dir", folder)
+    return folder
+
+
+def written(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
+    """Write a table (or some of its columns) to the checkpoint folder and read it back.
+
+    Used where a result is read several times or an iteration would grow its plan: the lineage is cut, a lost
+    executor costs nothing, and later reads take only the columns they need.
+    """
+    spark = df.sparkSession
+    path = f"{checkpoint_folder(spark)}/brickyard/{uuid.uuid4().hex}"
+    (df.select(*columns) if columns else df).write.parquet(path)
+    return spark.read.parquet(path)
