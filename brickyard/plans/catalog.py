@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from brickyard.plans import queries_fits, queries_layers, queries_market, queries_models  # noqa: F401
+from brickyard.plans import queries_fits, queries_layers, queries_market, queries_models, queries_network  # noqa: F401
 
 
 def load() -> None:
