@@ -1,12 +1,12 @@
 """Exact quantiles and running totals that never put a whole group into one task.
 
 `percentile` keeps a map of every distinct value of a group in one reducer, which fails when a third of the
-table belongs to one group. Here a group is split by a monotone bucket of the value:
+table belongs to one group. Here the rows are read twice, and almost nothing is shuffled:
 
-1. count per (group, value): partial aggregation first, and the shuffle key includes the value, so
-   a hot group is spread over all tasks;
-2. histogram per (group, bucket): a bounded number of rows per group (at most 256 per octave);
-3. the histogram tells which bucket holds each wanted rank; only those buckets are ranked.
+1. histogram per (group, bucket), where the bucket is a monotone function of the value. Partial aggregation leaves at
+   most 256 rows per octave and group, however many rows the group has;
+2. the histogram tells which bucket holds each wanted rank; only the rows of those buckets are counted by value
+   (partially first, so equal values cost nothing) and ranked.
 """
 
 from __future__ import annotations
@@ -17,6 +17,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from brickyard.session import written
+
 _PER_OCTAVE = 256
 _OFFSET = 300_000
 
@@ -46,54 +48,52 @@ def exact_quantiles(df: DataFrame, keys: list[str], wanted: dict[str, tuple[str,
     """
     columns = sorted({c for c, _ in wanted.values()})
     group = [*keys, "__metric"]
-    pairs = F.array(*[
-        F.struct(F.lit(c).alias("__metric"), F.col(c).cast("double").alias("__value")) for c in columns
-    ])
-    counted = (
-        df.select(*keys, F.explode(pairs).alias("__pair"))
-        .select(*keys, "__pair.*")
-        .where(F.col("__value").isNotNull() & ~F.isnan("__value"))
-        .groupBy(*group, "__value")
-        .agg(F.count(F.lit(1)).alias("__n"))
-        .withColumn("__bucket", value_bucket(F.col("__value")))
-    )
+    if len(columns) == 1:
+        long = df.select(*keys, F.lit(0).alias("__metric"), F.col(columns[0]).cast("double").alias("__value"))
+    else:
+        pairs = F.array(*[F.struct(F.lit(i).alias("__metric"), F.col(c).cast("double").alias("__value")) for i, c in enumerate(columns)])
+        long = df.select(*keys, F.explode(pairs).alias("__pair")).select(*keys, "__pair.*")
+    long = long.where(F.col("__value").isNotNull() & ~F.isnan("__value")).withColumn("__bucket", value_bucket(F.col("__value")))
     by_group = Window.partitionBy(*group)
     upto = by_group.orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
     probes = F.lit(None)
-    for c in columns:
-        probs = sorted({p for col, p in wanted.values() if col == c})
+    for i, c in enumerate(columns):
         ranks = []
-        for p in probs:
+        for p in sorted({p for col, p in wanted.values() if col == c}):
             pos = F.lit(p) * (F.col("__total") - 1)
             for side, rank in ((0, F.floor(pos)), (1, F.ceil(pos))):
                 ranks.append(F.struct(
                     F.lit(p).alias("p"), F.lit(side).alias("side"),
                     rank.cast("long").alias("rank"), (pos - F.floor(pos)).alias("frac"),
                 ))
-        probes = F.when(F.col("__metric") == c, F.array(*ranks)).otherwise(probes)
+        probes = F.when(F.col("__metric") == i, F.array(*ranks)).otherwise(probes)
 
     def inside(low: Column, size: Column):
         return lambda r: (r["rank"] >= low) & (r["rank"] < low + size)
 
-    histogram = (
-        counted.groupBy(*group, "__bucket").agg(F.sum("__n").alias("__size"))
+    hits = (
+        long.groupBy(*group, "__bucket").agg(F.count(F.lit(1)).alias("__size"))
         .withColumn("__before", F.coalesce(F.sum("__size").over(upto), F.lit(0)))
         .withColumn("__total", F.sum("__size").over(by_group))
         .withColumn("__hits", F.filter(probes, inside(F.col("__before"), F.col("__size"))))
         .where(F.size("__hits") > 0)
         .select(*group, "__bucket", "__before", "__hits")
     )
+    # Without keys there are at most two hit buckets per probability: a proven bound. With keys the table is written, so
+    # that the planner knows its size and broadcasts it below its threshold, or shuffles by group and bucket above.
+    hits = written(hits) if keys else F.broadcast(hits)
+    counted = null_safe_join(long, hits, [*group, "__bucket"], "inner").groupBy(*group, "__bucket", "__value").agg(
+        F.count(F.lit(1)).alias("__n"), F.first("__before").alias("__before"), F.first("__hits").alias("__hits"))
     in_bucket = Window.partitionBy(*group, "__bucket").orderBy("__value").rowsBetween(Window.unboundedPreceding, -1)
     found = (
-        null_safe_join(counted, histogram, [*group, "__bucket"], "inner")
-        .withColumn("__start", F.col("__before") + F.coalesce(F.sum("__n").over(in_bucket), F.lit(0)))
+        counted.withColumn("__start", F.col("__before") + F.coalesce(F.sum("__n").over(in_bucket), F.lit(0)))
         .withColumn("__hit", F.explode(F.filter("__hits", inside(F.col("__start"), F.col("__n")))))
         .select(*group, "__value", "__hit.*")
     )
     outputs = []
     for name, (c, p) in wanted.items():
-        def pick(side: int, field: str, c=c, p=p) -> Column:
-            mine = (F.col("__metric") == c) & (F.col("p") == p) & (F.col("side") == side)
+        def pick(side: int, field: str, i=columns.index(c), p=p) -> Column:
+            mine = (F.col("__metric") == i) & (F.col("p") == p) & (F.col("side") == side)
             return F.max(F.when(mine, F.col(field)))
 
         low, high = pick(0, "__value"), pick(1, "__value")
@@ -115,9 +115,9 @@ def aggregate_with_quantiles(
         return df.groupBy(*keys).agg(*aggs, *sketches)
     base = df.groupBy(*keys).agg(*aggs)
     quantiles = exact_quantiles(df if values is None else values, keys, wanted)
-    if not keys:  # one row each: join on a constant
-        one = F.lit(1).alias("__one")
-        return base.select("*", one).join(quantiles.select("*", one), "__one", "left").drop("__one")
+    if not keys:  # one row on either side: a scalar subquery instead of a join
+        row = quantiles.select(F.struct(*wanted)).scalar()
+        return base.withColumn("__q", row).select(*base.columns, "__q.*")
     return null_safe_join(base, quantiles, keys)
 
 

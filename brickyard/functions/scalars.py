@@ -29,7 +29,7 @@ def money(df: DataFrame, name: str) -> Column:
     """Like `number`, for text with thousands separators and a currency sign."""
     if not is_text(df, name):
         return number(df, name)
-    return F.regexp_replace(F.col(name), "[$,]", "").try_cast("double")
+    return F.translate(F.col(name), "$,", "").try_cast("double")
 
 
 def ratio(top: Column, bottom: Column) -> Column:

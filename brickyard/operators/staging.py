@@ -67,7 +67,7 @@ def arms_length(price: Column) -> Column:
 
 
 def ppsf_in_range(ppsf: Column, keep_unknown: bool) -> Column:
-    inside = ppsf.between(*settings.PPSF_RANGE)
+    inside = F.call_function("between", ppsf, F.lit(settings.PPSF_RANGE[0]), F.lit(settings.PPSF_RANGE[1]))
     return (ppsf.isNull() | inside) if keep_unknown else inside
 
 

@@ -11,6 +11,7 @@ from brickyard.plans.oracle_views import (
     BOROUGH, MACRO, PERMITS, PLUTO, SALES, STAGED_PLUTO, STAGED_SALES, VIOLATIONS, haversine,
 )
 from brickyard.plans.registry import ctes, query
+from brickyard.session import written
 from brickyard.sources import adapters, extracts
 from brickyard.sources.tables import load_tables, table
 
@@ -116,6 +117,11 @@ def stg_parcels(spark, sf_dir):
     return staging.stage_parcels(adapters.pluto_feed(spark, sf_dir)).select(*PARCEL_COLUMNS)
 
 
+def landed_sales(spark, sf_dir):
+    """The text feed as a landed table; building the text and parsing it in one plan would repeat the formatting."""
+    return written(adapters.sales_feed(spark, sf_dir))
+
+
 FEED_SALES = """feed AS (
   SELECT *, CASE WHEN l_tax <> 0.08 THEN CAST(CAST(sale_price AS DECIMAL(18,2)) AS DOUBLE) END AS price FROM sales)"""
 
@@ -128,7 +134,7 @@ FROM feed WHERE price >= 100000 AND (gross_square_feet IS NULL OR price / gross_
        floats="sale_price gross_square_feet land_square_feet price_per_sqft")
 def stg_sales(spark, sf_dir):
     """Money and date text parsed, arm's-length and price-range rules, unknown range kept (STG3,9-13a)."""
-    return staging.stage_sales(adapters.sales_feed(spark, sf_dir)).select(
+    return staging.stage_sales(landed_sales(spark, sf_dir)).select(
         "sale_id", "bbl", "borough", "borough_name", "sale_price", "sale_date", "sale_year", "sale_month",
         "sale_quarter", "gross_square_feet", "land_square_feet", "price_per_sqft")
 
@@ -194,7 +200,7 @@ FROM feed WHERE price >= 100000 AND price / nullif(gross_square_feet, 0) BETWEEN
        floats="sale_price gross_sqft price_per_sqft")
 def stg_sales_warehouse(spark, sf_dir):
     """Warehouse sales: composed parcel id, trimmed text, unknown price per square foot dropped (STG13b,14,19)."""
-    return staging.stage_sales_warehouse(adapters.sales_feed(spark, sf_dir)).select(
+    return staging.stage_sales_warehouse(landed_sales(spark, sf_dir)).select(
         "sale_id", "parcel_id", "borough_name", "neighborhood", "address", "zip_code", "building_class_category",
         "sale_price", "sale_date", "gross_sqft", "residential_units", "commercial_units", "price_per_sqft")
 

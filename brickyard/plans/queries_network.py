@@ -9,6 +9,7 @@ from brickyard.operators.enrichment import merge_parcels
 from brickyard.plans.oracle_views import DEEDS, PLUTO, SALES, STAGED_PLUTO, STAGED_SALES
 from brickyard.plans.queries_layers import staged_parcels, staged_sales
 from brickyard.plans.registry import ctes, query
+from brickyard.session import written
 from brickyard.sources import adapters
 
 C = F.col
@@ -31,6 +32,16 @@ def graph(spark, sf_dir):
     return ownership.ownership_edges(rows, order), ownership.property_vertices(rows, order)
 
 
+def stored_graph(spark, sf_dir):
+    """Edges and vertices as written tables, for queries that join them several times."""
+    edges, properties = graph(spark, sf_dir)
+    return written(edges, ["owner", "bbl"]), written(properties, ["bbl", "neighborhood", "assesstot"])
+
+
+def stored_deeds(spark, sf_dir, *columns):
+    return written(adapters.deeds(spark, sf_dir), list(columns))
+
+
 @query("gr01_ownership_edges", ctes(*OWNERS) + "SELECT owner, bbl, latest.p AS sale_price, latest.d AS sale_date FROM edges", floats="sale_price")
 def ownership_edges(spark, sf_dir):
     return graph(spark, sf_dir)[0]
@@ -51,7 +62,7 @@ SELECT owner, n_properties, portfolio_value, n_neighborhoods, array_to_string(na
 FROM top ORDER BY portfolio_value DESC, owner LIMIT 20""", floats="portfolio_value degree_centrality", digits={"portfolio_value": 1, "degree_centrality": 8})
 def key_players(spark, sf_dir):
     """Largest portfolios with spread and degree centrality (GR4, TK1)."""
-    return ownership.key_players(*graph(spark, sf_dir)).withColumn("neighborhoods", F.concat_ws("|", "neighborhoods"))
+    return ownership.key_players(*stored_graph(spark, sf_dir)).withColumn("neighborhoods", F.concat_ws("|", "neighborhoods"))
 
 
 @query("gr08_largest_portfolios", ctes(*OWNERS) + """
@@ -68,9 +79,9 @@ pairs AS (SELECT a.owner AS owner_a, b.owner AS owner_b, count(*) AS weight, lis
 
 
 def buyer_memberships(spark, sf_dir):
-    deeds = adapters.deeds(spark, sf_dir)
+    deeds = stored_deeds(spark, sf_dir, "buyer", "bbl", "neighborhood")
     edges = ownership.ownership_edges(deeds.select(C("buyer").alias("owner"), "bbl"))
-    return ownership.memberships(edges, deeds.groupBy("bbl").agg(F.min("neighborhood").alias("neighborhood")))
+    return written(ownership.memberships(edges, deeds.groupBy("bbl").agg(F.min("neighborhood").alias("neighborhood"))))
 
 
 @query("gr03_projection_degrees", ctes(DEEDS, BUYERS) + """
@@ -106,7 +117,7 @@ WHERE NOT EXISTS (SELECT 1 FROM deeds d WHERE d.seller = p.ownername AND d.bbl =
 def likely_sellers(spark, sf_dir):
     """Parcels of recent sellers which they have not sold (GR10, JN8)."""
     owned = adapters.pluto(spark, sf_dir).select(C("ownername").alias("owner"), "bbl", "assesstot")
-    return ownership.likely_sellers(owned, adapters.deeds(spark, sf_dir).select("seller", "bbl", "sale_date"))
+    return ownership.likely_sellers(owned, stored_deeds(spark, sf_dir, "seller", "bbl", "sale_date"))
 
 
 @query("gr11_investment_flow", ctes(DEEDS, PLUTO, """
@@ -117,7 +128,7 @@ SELECT h.neighborhood AS from_neighborhood, t.neighborhood AS to_neighborhood, c
 FROM trades t LEFT JOIN held h ON h.buyer = t.buyer AND h.neighborhood <> t.neighborhood GROUP BY 1, 2""", floats="flow_value", digits=0)
 def investment_flow(spark, sf_dir):
     """Capital flow between neighbourhoods; the SQL twin joins every holding with every purchase (GR11, JN11)."""
-    deeds = adapters.deeds(spark, sf_dir)
+    deeds = stored_deeds(spark, sf_dir, "buyer", "seller", "bbl", "neighborhood", "sale_date")
     hoods = deeds.groupBy("bbl").agg(F.min("neighborhood").alias("neighborhood"))
     properties = hoods.join(adapters.pluto(spark, sf_dir).select("bbl", "assesstot"), "bbl")
     held = deeds.select(C("buyer").alias("owner"), "bbl").distinct()
