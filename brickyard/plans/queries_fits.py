@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
-from brickyard.operators import distress_model, reports, segments, valuation
+from brickyard.operators import density, distress_model, reports, segments, valuation
 from brickyard.plans.oracle_views import SALES, STAGED_SALES
 from brickyard.plans.queries_layers import staged_sales
 from brickyard.plans.queries_market import SCORED_ALL, scored, stored
@@ -156,6 +156,26 @@ def cluster_profiles(spark, sf_dir):
     return segments.cluster_profiles(scored(spark, sf_dir, table))
 
 
+DENSITY = (0.08, 80)  # radius and least weight of the registered density query
+
+
+@query("cl07_density_clusters", ctes(*SCORED_ALL, """
+c AS (SELECT sale_id, bbl, gross_square_feet AS g, building_age AS a FROM scored WHERE gross_square_feet IS NOT NULL AND building_age IS NOT NULL),
+z AS (SELECT sale_id, bbl, (g - avg(g) OVER ()) / stddev_pop(g) OVER () AS g, (a - avg(a) OVER ()) / stddev_pop(a) OVER () AS a FROM c),
+p AS (SELECT g, a, count(*) AS w FROM z GROUP BY 1, 2)""", f"""
+near AS (SELECT x.g, x.a, y.g AS yg, y.a AS ya, y.w FROM p x JOIN p y
+         ON (x.g - y.g) * (x.g - y.g) + (x.a - y.a) * (x.a - y.a) <= CAST({DENSITY[0] ** 2} AS DOUBLE)),
+core AS (SELECT g, a, sum(w) >= {DENSITY[1]} AS is_core FROM near GROUP BY 1, 2),
+state AS (SELECT n.g, n.a, bool_or(c.is_core) AS touched FROM near n JOIN core c ON c.g = n.yg AND c.a = n.ya GROUP BY 1, 2)""") + """
+SELECT sale_id, bbl, CAST(is_core AS INT) AS is_core, CAST(NOT touched AS INT) AS is_noise
+FROM z JOIN core USING (g, a) JOIN state USING (g, a)""")
+def density_clusters(spark, sf_dir):
+    """Density clusters over size and age (CL7); the SQL twin compares all pairs for the core and noise flags."""
+    table = stored(spark, sf_dir, "sale_id", "bbl", "gross_square_feet", "building_age")
+    out, _ = density.fit_dbscan(table, *DENSITY)
+    return out.select("sale_id", "bbl", "is_core", (C("cluster") == -1).cast("int").alias("is_noise"))
+
+
 @query("cl08_projection")
 def projection(spark, sf_dir):
     return segments.projection(segment_table(spark, sf_dir)).select("sale_id", "bbl", "pca_1", "pca_2")
