@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from brickyard import settings
-from brickyard.functions.scalars import has
+from brickyard.functions.scalars import has, haversine_km
 from brickyard.operators.distress import owner_column
 from brickyard.session import written
 
@@ -227,3 +227,29 @@ def investment_flow(deeds: DataFrame, holdings: DataFrame, properties: DataFrame
     return rows.groupBy("from_neighborhood", "to_neighborhood").agg(
         F.sum(C("n") * C("held")).alias("flow_count"), F.sum(C("v") * C("held")).alias("flow_value")).orderBy(
         F.desc("flow_value"), "from_neighborhood", "to_neighborhood")
+
+
+# --- proximity ------------------------------------------------------------------
+def nearby_locations(properties: DataFrame, km: float) -> DataFrame:
+    """Pairs of distinct locations at most `km` apart, with the distance and the number of property pairs between them.
+
+    Properties at one spot collapse to a location with a count (its own pairs are the row with distance 0), so a tower of
+    flats is one row. Locations meet in grid cells as wide as the distance.
+    """
+    places = properties.where(C("latitude").isNotNull() & C("longitude").isNotNull()).groupBy("latitude", "longitude").agg(F.count(F.lit(1)).alias("n"))
+    degree = settings.EARTH_RADIUS_KM * 3.141592653589793 / 180
+    # a degree of longitude is shortest at the highest latitude
+    narrowest = F.cos(F.radians(F.lit(settings.LAT_RANGE[1] + 1)))
+    row, column = F.floor(C("latitude") * degree / km), F.floor(C("longitude") * degree * narrowest / km)
+    gridded = places.where(F.abs("latitude") <= settings.LAT_RANGE[1] + 1).withColumns({"r": row, "c": column})
+    steps = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i in (-1, 0, 1) for j in (-1, 0, 1)])
+    left = gridded.withColumn("s", F.explode(steps)).select(
+        C("latitude").alias("lat_a"), C("longitude").alias("lon_a"), C("n").alias("n_a"), (C("r") + C("s.i")).alias("r"), (C("c") + C("s.j")).alias("c"))
+    right = gridded.select(C("latitude").alias("lat_b"), C("longitude").alias("lon_b"), C("n").alias("n_b"), "r", "c")
+    pairs = left.join(right, ["r", "c"]).where((C("lat_a") < C("lat_b")) | ((C("lat_a") == C("lat_b")) & (C("lon_a") < C("lon_b"))))
+    distance = haversine_km(C("lat_a"), C("lon_a"), C("lat_b"), C("lon_b"))
+    apart = pairs.select("lat_a", "lon_a", "lat_b", "lon_b", distance.alias("distance_km"), (C("n_a") * C("n_b")).alias("n_pairs")).where(C("distance_km") <= km)
+    together = places.where(C("n") > 1).select(
+        C("latitude").alias("lat_a"), C("longitude").alias("lon_a"), C("latitude").alias("lat_b"), C("longitude").alias("lon_b"),
+        F.lit(0.0).alias("distance_km"), (C("n") * (C("n") - 1) / 2).cast("long").alias("n_pairs"))
+    return apart.unionByName(together)
