@@ -128,7 +128,8 @@ def market_activity(df: DataFrame) -> DataFrame:
 
 def histogram(df: DataFrame, value: str, bins: int, by: list[str] | None = None) -> DataFrame:
     """Equal-width bins between the column's minimum and maximum; empty bins are absent."""
-    low, high = df.agg(F.min(value)).scalar(), df.agg(F.max(value)).scalar()
+    ends = df.agg(F.struct(F.min(value).alias("low"), F.max(value).alias("high"))).scalar()
+    low, high = ends["low"], ends["high"]
     position = F.floor(ratio(C(value) - low, high - low) * bins)
     number = F.least(F.coalesce(position, F.lit(0)), F.lit(bins - 1)).cast("int")
     return (df.where(C(value).isNotNull()).withColumn("bin", number)
@@ -145,9 +146,9 @@ def box_stats(df: DataFrame, value: str, key: str) -> DataFrame:
 
 def marker_colors(df: DataFrame, value: str) -> DataFrame:
     """Map marker colour by the global 50 and 75 percent quantiles."""
-    cuts = exact_quantiles(df, [], {"q50": (value, 0.5), "q75": (value, 0.75)})
-    q50, q75 = cuts.select("q50").scalar(), cuts.select("q75").scalar()
-    color = F.when(C(value).isNull(), "gray").when(C(value) > q75, "red").when(C(value) > q50, "orange").otherwise("green")
+    cuts = exact_quantiles(df, [], {"q50": (value, 0.5), "q75": (value, 0.75)}).select(F.struct("q50", "q75")).scalar()
+    color = (F.when(C(value).isNull(), "gray").when(C(value) > cuts["q75"], "red").when(C(value) > cuts["q50"], "orange")
+             .otherwise("green"))
     return df.withColumn("marker_color", color)
 
 

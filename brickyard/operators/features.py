@@ -75,10 +75,10 @@ def engineer_features(
 ) -> DataFrame:
     """The whole feature table: merged, encoded and imputed.
 
-    Imputation needs the gaps and medians of the encoded table, so that table is written once and the small
-    aggregates read single columns of it.
+    Encoding needs category lists, imputation the gaps and medians of the encoded table. Both tables are written once, so
+    that these small aggregates read single columns instead of repeating the joins.
     """
-    out = base_features(parcels, sales, permits, violations, as_of)
+    out = written(base_features(parcels, sales, permits, violations, as_of))
     if has(out, "borough_name"):
         out = encoding.one_hot(out, "borough_name")
     if has(out, "building_class_category"):

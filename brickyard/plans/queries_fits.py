@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
-from brickyard.operators import density, distress_model, reports, segments, valuation
+from brickyard.operators import density, distress, distress_model, reports, segments, valuation
 from brickyard.plans.oracle_views import SALES, STAGED_SALES
 from brickyard.plans.queries_layers import staged_sales
 from brickyard.plans.queries_market import SCORED_ALL, scored, stored
@@ -195,5 +195,4 @@ SELECT doc_id, CASE WHEN s <= 0 THEN NULL WHEN s <= CAST(0.15 AS DOUBLE) THEN 'L
        WHEN s <= CAST(0.6 AS DOUBLE) THEN 'Elevated Risk' WHEN s <= 1 THEN 'High Risk' END AS risk_tier
 FROM (SELECT doc_id, (n_chars % 1000) / CAST(1000 AS DOUBLE) AS s FROM labels JOIN documents USING (doc_id))""")
 def risk_tiers(spark, sf_dir):
-    from brickyard.operators.distress import risk_tiers as tiers
-    return tiers(adapters.scored_labels(spark, sf_dir), "score").select("doc_id", "risk_tier")
+    return distress.risk_tiers(adapters.scored_labels(spark, sf_dir), "score").select("doc_id", "risk_tier")
