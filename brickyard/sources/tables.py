@@ -6,7 +6,6 @@ import json
 import os
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -41,9 +40,8 @@ def save_tables(tables: dict[str, DataFrame], folder: str, partition_by: dict[st
         writer = df.write.mode("overwrite")
         columns = (partition_by or {}).get(name)
         if columns:
-            # one shuffle by partition value plus a salt: few files per value, no single hot writer
-            salt = F.pmod(F.xxhash64(*df.columns), F.lit(16))
-            writer = df.repartition(*columns, salt).write.mode("overwrite").partitionBy(*columns)
+            # gathers each value's rows into few files; AQE splits a value that is too large for one writer
+            writer = df.hint("rebalance", *columns).write.mode("overwrite").partitionBy(*columns)
         writer.parquet(f"{folder}/{name}.parquet")
 
 
