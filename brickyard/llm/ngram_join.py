@@ -294,7 +294,7 @@ def keep(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
 ORACLE = r"""
 WITH RECURSIVE t AS (
     SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
-s AS (SELECT doc_id, list_distinct(CASE WHEN len(w) >= 3 THEN list_transform(range(1, len(w) - 1), i -> w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])
+s AS (SELECT doc_id, list_distinct(CASE WHEN len(w) >= 3 THEN list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])
     WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS items FROM t),
 e AS (SELECT doc_id, len(items) AS n, unnest(items) AS item FROM s),
 p AS (SELECT x.doc_id AS a, y.doc_id AS b FROM e AS x JOIN e AS y ON x.item = y.item AND x.doc_id < y.doc_id AND 10 * x.n >= 9 * y.n AND 10 * y.n >= 9 * x.n

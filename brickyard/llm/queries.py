@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from brickyard.llm import bpe, exact_dedup, language_id, mixing, ngram_join, pii, sharding
+from brickyard.llm import bpe, cap_filters, exact_dedup, fixity, language_id, mixing, ngram_join, pii, sharding, suffix_tree
 from brickyard.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -29,6 +29,11 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+@query("op1_merkle_fixity", fixity.ORACLE)
+def audit_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fixity.audit_pages(table(spark, sf_dir, "pages"))
+
+
 @query("op2_bpe_chunk_reuse")
 def encode_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_digests(table(spark, sf_dir, "documents"), tokenizer_path())
@@ -56,11 +61,21 @@ def join_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.join_components(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
 
 
+@query("op7_cap_filters", cap_filters.ORACLE)
+def link_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cap_filters.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 @query("op8_exact_dedup", exact_dedup.ORACLE)
 def dedup_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.decisions(table(spark, sf_dir, "documents"))
 
 
+@query("op9_suffix_tree")
+def score_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_tree.score(table(spark, sf_dir, "documents"))
+
+
 @query("op10_personal_data")
 def find_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.find_digests(table(spark, sf_dir, "documents"))
