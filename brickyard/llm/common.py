@@ -159,6 +159,5 @@ def components(links: DataFrame, left: str = "a", right: str = "b") -> DataFrame
         if state == seen:
             break
         seen = state
-    roots = pairs.groupBy("u").agg(F.min("v").alias("component_id")).withColumnRenamed("u", "id")
-    return roots.unionByName(pairs.select(F.col("v").alias("id"), F.col("v").alias("component_id")).distinct().join(
-        roots.select("id"), "id", "left_anti"))
+    ends = F.explode(F.array(F.struct(F.col("u").alias("id"), "v"), F.struct(F.col("v").alias("id"), "v"))).alias("end")
+    return pairs.select(ends).groupBy("end.id").agg(F.min("end.v").alias("component_id"))

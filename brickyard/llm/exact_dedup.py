@@ -78,7 +78,7 @@ def keep(docs: DataFrame) -> DataFrame:
     joined = keyed.join(found, F.col("doc_id").cast("long").eqNullSafe(F.col("__id")) & (F.col("__own") == F.col("__digest")))
     if not found.where("__repeats > 1").limit(1).count():
         return joined.select(*docs.columns)
-    once = joined.where("__repeats > 1").dropDuplicates(["__id", "__digest"])
+    once = written(joined.where("__repeats > 1").dropDuplicates(["__id", "__digest"]))
     return joined.where("__repeats = 1").unionByName(once).select(*docs.columns)
 
 

@@ -122,5 +122,5 @@ def take(docs: DataFrame, seed: int = 5, **options) -> DataFrame:
 
     if not copies.where("__min < __max").limit(1).count():
         return times(keyed, "__max")
-    tied = keyed.where("__min < __max").dropDuplicates(["__h", "__size"])
+    tied = written(keyed.where("__min < __max").dropDuplicates(["__h", "__size"]))
     return times(keyed.where("__min = __max"), "__max").unionByName(times(tied, "__sum"))

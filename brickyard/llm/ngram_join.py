@@ -230,7 +230,7 @@ def unsettled(star: DataFrame, wrong: DataFrame, labels: DataFrame) -> DataFrame
     """(sign, class, label, n) of signatures with more than one component, from the star rows and the pairs in them that failed."""
     open_signs = star.join(wrong, (F.col("p") == F.col("a")) & (F.col("x") == F.col("b")), "left_semi").select("sign").distinct()
     rows = star.join(open_signs, "sign")
-    members = rows.select("sign", F.col("x").alias("class")).unionByName(rows.select("sign", F.col("p").alias("class"))).distinct()
+    members = rows.select("sign", F.explode(F.array("x", "p")).alias("class")).distinct()
     members = members.join(labels, F.col("class") == F.col("id"), "left").select("sign", "class", F.coalesce("component_id", "class").alias("label"))
     spread = members.groupBy("sign").agg(F.min("label").alias("l"), F.max("label").alias("h"), F.count("*").alias("n")).where("l < h").select("sign", "n")
     return members.join(spread, "sign")
@@ -241,7 +241,7 @@ def similar_classes(texts: DataFrame, k: int, percent: int) -> DataFrame:
     levels = LEVELS if percent >= 88 else LOOSE
     star = written(starred(first_stars(texts, k, percent, levels[0])))
     pairs = written(star.select(F.col("p").alias("a"), F.col("x").alias("b")).distinct())
-    names = pairs.select(F.col("a").alias("class")).unionByName(pairs.select(F.col("b").alias("class"))).distinct()
+    names = pairs.select(F.explode(F.array("a", "b")).alias("class")).distinct()
     sets = written(sets_of(texts, written(names), k))
     tried = written(linked(pairs, sets, percent))
     links = tried.where("similar").select("a", "b")
