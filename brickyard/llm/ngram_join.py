@@ -16,7 +16,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from brickyard.llm.common import components, mix, ragged, steps, words
@@ -31,6 +31,8 @@ LOOSE = ((1, 2), (2, 6))
 LISTED = 128
 #: Signatures that are grouped inside a task before the shuffle.
 CHUNK = 300_000
+#: A set's parity sketch has this many words of 64 bits: the bits in which two sketches differ are no more than the elements in which the sets differ.
+PARITY = 8
 #: Bits of the filter for classes whose sets are fetched: a fixed size; a full filter only lets more rows through to the exact join.
 FILTER_BITS = 23
 
@@ -154,13 +156,36 @@ def bitmap(names: DataFrame) -> np.ndarray:
     return out
 
 
+def parities(values: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """Sets by PARITY words: each element flips one bit."""
+    bit = mix(values ^ np.uint64(0x1D8E4E27C47D124F)) >> np.uint64(64 - int(np.log2(64 * PARITY)))
+    row = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))
+    out = np.zeros((len(offsets) - 1, PARITY), np.uint64)
+    np.bitwise_xor.at(out, (row, (bit >> np.uint64(6)).astype(np.int64)), np.uint64(1) << (bit & np.uint64(63)))
+    return out.view(np.int64)
+
+
+def narrow(sets: DataFrame, side: str) -> DataFrame:
+    """Class, size and sketch under the names of one side of a pair."""
+    return sets.select(F.col("class").alias(side), F.col("n").alias("n_" + side), *(F.col(f"s{i}").alias(f"s{i}_{side}") for i in range(PARITY)))
+
+
+def possible(percent: int) -> Column:
+    """False only for pairs a, b that surely aren't similar: their sketches differ in more bits than similar sets of their sizes in elements."""
+    differ = " + ".join(f"bit_count(s{i}_a ^ s{i}_b)" for i in range(PARITY))
+    return F.expr(f"{100 + percent} * ({differ}) <= {100 - percent} * (n_a + n_b)")
+
+
 def linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """(a, b, similar) of pairs of classes."""
+    """(a, b, similar) of pairs of classes. Whole sets are fetched for pairs that the sketches don't rule out."""
+    near = pairs.join(narrow(sets, "a"), "a").join(narrow(sets, "b"), "b").select("a", "b", possible(percent).alias("possible"))
+    near = written(near)
     left = sets.select(F.col("class").alias("a"), F.col("items").alias("own"))
     right = sets.select(F.col("class").alias("b"), F.col("items").alias("other"))
-    both = pairs.join(left, "a").join(right, "b")
+    both = near.where("possible").join(left, "a").join(right, "b")
     shared = F.size(F.array_intersect("own", "other"))
-    return both.select("a", "b", (100 * shared >= percent * (F.size("own") + F.size("other") - shared)).alias("similar"))
+    sure = written(both.select("a", "b", (100 * shared >= percent * (F.size("own") + F.size("other") - shared)).alias("similar")))
+    return sure.unionByName(near.where("NOT possible").select("a", "b", F.lit(False).alias("similar")))
 
 
 def sketch(docs: DataFrame, k: int) -> DataFrame:
@@ -206,10 +231,13 @@ def sets_of(texts: DataFrame, names: DataFrame, k: int) -> DataFrame:
             rows = once[(sent.value[bit[once] >> 5] >> (bit[once] & 31) & 1).astype(bool)]
             lengths = np.diff(offsets)[rows]
             items = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32)), pa.array(values[ragged(offsets[:-1][rows], lengths)].view(np.int64)))
-            yield pa.RecordBatch.from_arrays([pa.array(own[rows]), items], ["class", "items"])
+            flips = parities(values, offsets)[rows]
+            yield pa.RecordBatch.from_arrays([pa.array(own[rows]), pa.array(lengths), *(pa.array(flips[:, i]) for i in range(PARITY)), items],
+                                             ["class", "n", *(f"s{i}" for i in range(PARITY)), "items"])
 
-    found = texts.mapInArrow(run, "class long, items array<long>").join(names, "class", "left_semi")
-    return found.groupBy("class").agg(F.first("items").alias("items"))
+    short = ["n", *(f"s{i}" for i in range(PARITY))]
+    found = texts.mapInArrow(run, f"class long, {', '.join(c + ' long' for c in short)}, items array<long>").join(names, "class", "left_semi")
+    return found.groupBy("class").agg(*(F.first(c).alias(c) for c in [*short, "items"]))
 
 
 def finer_stars(sets: DataFrame, percent: int, level: tuple[int, int]) -> DataFrame:
@@ -243,7 +271,7 @@ def similar_classes(texts: DataFrame, k: int, percent: int) -> DataFrame:
     pairs = written(star.select(F.col("p").alias("a"), F.col("x").alias("b")).distinct())
     names = pairs.select(F.explode(F.array("a", "b")).alias("class")).distinct()
     sets = written(sets_of(texts, written(names), k))
-    tried = written(linked(pairs, sets, percent))
+    tried = linked(pairs, sets, percent)
     links = tried.where("similar").select("a", "b")
     for depth in range(len(levels)):
         wrong = tried.where("NOT similar").select("a", "b")
@@ -252,15 +280,15 @@ def similar_classes(texts: DataFrame, k: int, percent: int) -> DataFrame:
         rest = written(unsettled(star, wrong, components(links)))
         last = depth + 1 == len(levels)
         listed = rest if last else rest.where(F.col("n") <= LISTED)
-        left, right = (listed.select("sign", F.col("class").alias(c), F.col("label").alias("label_" + c)) for c in "ab")
-        cross = left.join(right, "sign").where("a < b AND label_a <> label_b").select("a", "b").distinct()
-        more = written(linked(cross.join(tried.select("a", "b"), ["a", "b"], "left_anti"), sets, percent))
+        left, right = (listed.select("sign", F.col("class").alias(c), F.col("label").alias("label_" + c)).join(narrow(sets, c), c) for c in "ab")
+        cross = left.join(right, (left["sign"] == right["sign"]) & F.expr("a < b AND label_a <> label_b") & possible(percent)).select("a", "b").distinct()
+        more = linked(written(cross.join(tried.select("a", "b"), ["a", "b"], "left_anti")), sets, percent)
         links = written(links.unionByName(more.where("similar").select("a", "b")))
         common = written(rest.where(F.col("n") > LISTED).select("class").distinct())
         if last or not common.limit(1).count():
             break
         star = written(starred(finer_stars(sets.join(common, "class", "left_semi"), percent, levels[depth + 1])))
-        tried = written(linked(star.select(F.col("p").alias("a"), F.col("x").alias("b")).distinct(), sets, percent))
+        tried = linked(star.select(F.col("p").alias("a"), F.col("x").alias("b")).distinct(), sets, percent)
         links = links.unionByName(tried.where("similar").select("a", "b"))
     return links
 
