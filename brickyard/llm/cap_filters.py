@@ -53,7 +53,7 @@ def exceeded(x: np.ndarray, words: list[np.ndarray], height: float) -> tuple[np.
         reach.append(reach[-1] + s.max(axis=1))
     row, name, sofar = np.arange(len(x)), np.zeros(len(x), np.int64), np.zeros(len(x))
     for s, ahead in zip(scores, reversed(reach), strict=True):
-        found = []
+        found = [(row[:0], name[:0], sofar[:0])]
         for at in range(0, len(row), 4096):
             r = row[at:at + 4096]
             total = sofar[at:at + 4096, None] + s[r]

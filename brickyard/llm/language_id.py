@@ -17,8 +17,10 @@ from pyspark.sql import functions as F
 
 from brickyard.llm.common import _SPACE, mix, row_of, steps, text_bytes, word_spans
 
-#: The fit reads at most this many labelled rows per language, and the calibration as many again; rows with longer texts are left to prediction.
-SAMPLE_ROWS, SAMPLE_CHARS = 250, 50_000
+#: The fit and the calibration together read at most this many labelled rows per language, the calibration every fourth; rows with longer texts are left to prediction.
+SAMPLE_ROWS, SAMPLE_CHARS = 400, 50_000
+#: Few rows are gone through more often than EPOCHS, until so many have been seen.
+SEEN = 12_000
 BUCKETS, WIDTH, EPOCHS, BATCH, RATE = 1 << 15, 10, 6, 16, 4.0
 #: Share of calibration rows, with the right language on top, that the threshold may reject; and the threshold's ceiling.
 MISSED, CEILING = 0.001, 0.5
@@ -109,8 +111,9 @@ def train(texts: list[str], labels: list[str], seed: int = 11) -> Model:
     embedding = random.uniform(-1, 1, (BUCKETS, WIDTH)) / WIDTH
     weights, bias = np.zeros((WIDTH, len(languages))), np.zeros(len(languages))
     usable = [i for i, (b, _) in enumerate(rows) if len(b)]
-    done, total = 0, EPOCHS * max(1, len(usable))
-    for _ in range(EPOCHS):
+    epochs = max(EPOCHS, -(-SEEN // max(1, len(usable))))
+    done, total = 0, epochs * max(1, len(usable))
+    for _ in range(epochs):
         order = random.permutation(usable)
         for at in range(0, len(order), BATCH):
             some = order[at:at + BATCH]
@@ -162,9 +165,9 @@ def fit(docs: DataFrame, seed: int = 3) -> Model:
     usable = docs.where(~held_out() & F.col("text").isNotNull() & F.col("lang").isNotNull() & (F.length("text") <= SAMPLE_CHARS))
     narrow = usable.select(F.xxhash64(F.lit(seed), "doc_id", "text").alias("h"), F.col("lang").cast("string").alias("lang"), "text")
     first = Window.partitionBy("lang").orderBy("h", "text")
-    rows = sorted(narrow.withColumn("place", F.row_number().over(first)).where(F.col("place") <= 2 * SAMPLE_ROWS).drop("h").collect(),
+    rows = sorted(narrow.withColumn("place", F.row_number().over(first)).where(F.col("place") <= SAMPLE_ROWS).drop("h").collect(),
                   key=lambda r: (r["place"], r["lang"]))
-    learn, check = rows[::2], rows[1::2]
+    learn, check = [r for r in rows if r["place"] % 4], [r for r in rows if r["place"] % 4 == 0]
     if not learn:
         return Model([], np.zeros((BUCKETS, 0), np.float32), np.zeros(0))
     model = train([r["text"] for r in learn], [r["lang"] for r in learn])

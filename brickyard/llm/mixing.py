@@ -39,10 +39,31 @@ def targets(sizes: DataFrame, share: float, cap: float, weights: tuple[int, ...]
         "stratum", "source_size", F.least("most", F.coalesce(F.col("level") * F.col("w"), F.col("most"))).cast("double").alias("target"))
 
 
+def close(lengths: list[int], free: list[int], budget: int) -> list[int]:
+    """Bounded knapsack: how many of each length come to `budget`, or to the largest sum below it. The set of reachable sums is the bits of one
+    integer; copies of a length are added in powers of two."""
+    taken = [0] * len(lengths)
+    mask, items, sums = (1 << (budget + 1)) - 1, [], [1]
+    for i, n in enumerate(lengths):
+        left, k = min(free[i], budget // n), 1
+        while left > 0 and not sums[-1] >> budget & 1:
+            k = min(k, left)
+            items.append((i, k))
+            sums.append(sums[-1] | sums[-1] << n * k & mask)
+            left, k = left - k, 2 * k
+    at = sums[-1].bit_length() - 1
+    for (i, k), reached in zip(reversed(items), reversed(sums[:-1]), strict=True):
+        if not reached >> at & 1:
+            taken[i] += k
+            at -= k * lengths[i]
+    return taken
+
+
 def fit(lengths: list[int], counts: list[int], budget: int, total: int) -> list[int]:
-    """How many documents of each length to take so that their lengths come to `budget`, or as near below it as can be reached.
+    """How many documents of each (rising) length to take so that their lengths come to `budget`, or as near below it as can be reached.
 
-    Lengths rise. The dynamic programme's set of reachable sums is the bits of one integer; copies of a length are added in powers of two.
+    Each length gives its proportional share, then one more document of each length from the longest on, until the dynamic programme reaches. Where its sum falls short and
+    the whole budget is within reach, the programme decides on all documents instead.
     """
     taken = [0 if not total else c * budget // total for c in counts]
     left = budget - sum(n * t for n, t in zip(lengths, taken, strict=True))
@@ -51,20 +72,11 @@ def fit(lengths: list[int], counts: list[int], budget: int, total: int) -> list[
         more = min(counts[i] - taken[i], max(0, left - REACH) // lengths[i], most)
         taken[i] += more
         left -= more * lengths[i]
-    mask, items, sums = (1 << (left + 1)) - 1, [], [1]
-    for i, n in enumerate(lengths):
-        free, k = min(counts[i] - taken[i], left // n), 1
-        while free > 0 and not sums[-1] >> left & 1:
-            k = min(k, free)
-            items.append((i, k))
-            sums.append(sums[-1] | sums[-1] << n * k & mask)
-            free, k = free - k, 2 * k
-    at = sums[-1].bit_length() - 1
-    for (i, k), reached in zip(reversed(items), reversed(sums[:-1]), strict=True):
-        if not reached >> at & 1:
-            taken[i] += k
-            at -= k * lengths[i]
-    return taken
+    rest = close(lengths, [c - t for c, t in zip(counts, taken, strict=True)], left)
+    out = [t + r for t, r in zip(taken, rest, strict=True)]
+    if sum(n * t for n, t in zip(lengths, out, strict=True)) < budget <= REACH:
+        out = max(out, close(lengths, counts, budget), key=lambda x: sum(n * t for n, t in zip(lengths, x, strict=True)))
+    return out
 
 
 def plan(histogram: pd.DataFrame) -> pd.DataFrame:

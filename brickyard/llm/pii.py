@@ -35,7 +35,7 @@ REACH = 48
 WIDTH, STRIDE = 96, 48
 #: The fit reads at most this many documents, none longer than this.
 SAMPLE_DOCS, SAMPLE_CHARS = 400, 20_000
-SYMBOLS, EMBED, HIDDEN, STEPS, BATCH, RATE = 130, 12, 20, 160, 48, 0.02
+SYMBOLS, EMBED, HIDDEN, STEPS, BATCH, RATE = 130, 12, 20, 300, 48, 0.02
 TAGS = 1 + 2 * len(KINDS)
 
 Span = tuple[str, int, int]
