@@ -72,7 +72,7 @@ def _moves(both: DataFrame, labels: DataFrame, total: float, turn: int) -> DataF
               .withColumn("gain", C("w") - C("degree") * (C("tot") - F.when(C("mine"), C("degree")).otherwise(0.0)) / total))
     allowed = C("mine") | (C("own_members") > 1) | (C("members") > 1) | (C("target") < C("community"))
     best = scored.where(allowed).groupBy("id").agg(
-        F.max_by(F.struct("target", "gain"), F.struct("gain", "mine")).alias("best"),
+        F.max_by(F.struct("target", "gain"), F.struct("gain", "mine", "target")).alias("best"),
         F.max(F.when(C("mine"), C("gain"))).alias("stay"))
     turned = F.pmod(F.xxhash64("id", F.lit(turn)), F.lit(2)) == 0
     # a node with no link into its own community would stay at this gain

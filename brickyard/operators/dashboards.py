@@ -181,12 +181,13 @@ def distance_price_points(df: DataFrame, n: int = 4000) -> DataFrame:
 def parallel_coordinates(df: DataFrame, n: int = 2000) -> DataFrame:
     wanted = ["price_per_sqft", "gross_square_feet", "building_age", "dist_to_cbd_km", "floor_area_ratio"]
     cols = [c for c in wanted if has(df, c)]
-    return df.select(*cols, "cluster").dropna().limit(n)
+    return repeatable_sample(df.select(*cols, "cluster").dropna(), n, [*cols, "cluster"])
 
 
 def size_price_points(df: DataFrame, n: int = 3000) -> DataFrame:
     wanted = ["gross_square_feet", "sale_price", "neighborhood", "price_per_sqft", "borough_name", "num_floors"]
-    return df.select(*[c for c in wanted if has(df, c)]).limit(n)
+    cols = [c for c in wanted if has(df, c)]
+    return repeatable_sample(df.select(*cols), n, cols)
 
 
 def risk_tier(probability: Column) -> Column:

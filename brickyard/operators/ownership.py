@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -51,7 +51,7 @@ def property_vertices(df: DataFrame, order: list[str] | None = None) -> DataFram
     rows = clean_owner(df, owner) if owner else df
     kept = [c for c in PROPERTY_ATTRIBUTES if has(rows, c)]
     keys = order or [c for c in ("sale_date", "sale_price") if has(rows, c)] or kept
-    return rows.groupBy("bbl").agg(F.max_by(F.struct(*kept), F.struct(*keys)).alias("last")).select("bbl", *[C(f"last.{c}").alias(c) for c in kept])
+    return rows.groupBy("bbl").agg(F.max_by(F.struct(*kept), F.struct(*keys, *(c for c in kept if c not in keys))).alias("last")).select("bbl", *[C(f"last.{c}").alias(c) for c in kept])
 
 
 def graph_counts(edges: DataFrame) -> DataFrame:
@@ -231,25 +231,26 @@ def investment_flow(deeds: DataFrame, holdings: DataFrame, properties: DataFrame
 
 # --- proximity ------------------------------------------------------------------
 def nearby_locations(properties: DataFrame, km: float) -> DataFrame:
-    """Pairs of distinct locations at most `km` apart, with the distance and the number of property pairs between them.
+    """latitude, longitude, n_here, n_near: properties at each location, and other properties at most `km` away (those at the same spot included).
 
-    Properties at one spot collapse to a location with a count (its own pairs are the row with distance 0), so a tower of
-    flats is one row. Locations meet in grid cells as wide as the distance.
+    Properties at one spot collapse to a location with a count. Locations meet in grid cells as wide as the distance; a band of latitude has its own
+    width in degrees of longitude, and the columns close at the date line, so the whole globe is covered. Pairs are counted, never listed.
     """
     places = properties.where(C("latitude").isNotNull() & C("longitude").isNotNull()).groupBy("latitude", "longitude").agg(F.count(F.lit(1)).alias("n"))
     degree = settings.EARTH_RADIUS_KM * 3.141592653589793 / 180
-    # a degree of longitude is shortest at the highest latitude
-    narrowest = F.cos(F.radians(F.lit(settings.LAT_RANGE[1] + 1)))
-    row, column = F.floor(C("latitude") * degree / km), F.floor(C("longitude") * degree * narrowest / km)
-    gridded = places.where(F.abs("latitude") <= settings.LAT_RANGE[1] + 1).withColumns({"r": row, "c": column})
-    steps = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i in (-1, 0, 1) for j in (-1, 0, 1)])
-    left = gridded.withColumn("s", F.explode(steps)).select(
-        C("latitude").alias("lat_a"), C("longitude").alias("lon_a"), C("n").alias("n_a"), (C("r") + C("s.i")).alias("r"), (C("c") + C("s.j")).alias("c"))
-    right = gridded.select(C("latitude").alias("lat_b"), C("longitude").alias("lon_b"), C("n").alias("n_b"), "r", "c")
-    pairs = left.join(right, ["r", "c"]).where((C("lat_a") < C("lat_b")) | ((C("lat_a") == C("lat_b")) & (C("lon_a") < C("lon_b"))))
-    distance = haversine_km(C("lat_a"), C("lon_a"), C("lat_b"), C("lon_b"))
-    apart = pairs.select("lat_a", "lon_a", "lat_b", "lon_b", distance.alias("distance_km"), (C("n_a") * C("n_b")).alias("n_pairs")).where(C("distance_km") <= km)
-    together = places.where(C("n") > 1).select(
-        C("latitude").alias("lat_a"), C("longitude").alias("lon_a"), C("latitude").alias("lat_b"), C("longitude").alias("lon_b"),
-        F.lit(0.0).alias("distance_km"), (C("n") * (C("n") - 1) / 2).cast("long").alias("n_pairs"))
-    return apart.unionByName(together)
+    band = F.floor(C("latitude") * degree / km)
+
+    def columns(r: Column) -> Column:
+        """Cells around the globe in a band: as many as fit at the highest latitude that it or its neighbours reach."""
+        highest = F.least(F.lit(90.0), F.greatest(F.abs(r - 1), F.abs(r + 2)) * km / degree)
+        return F.greatest(F.lit(1), F.floor(360 * degree * F.cos(F.radians(highest)) * 0.999 / km))
+
+    def cell(r: Column) -> Column:
+        return F.pmod(F.floor((C("longitude") + 180) / 360 * columns(r)), columns(r))
+
+    right = places.select(C("latitude").alias("lat_b"), C("longitude").alias("lon_b"), C("n").alias("n_b"), band.alias("r"), cell(band).alias("c"))
+    around = F.array_distinct(F.flatten(F.array(*[
+        F.array(*[F.struct((band + i).alias("r"), F.pmod(cell(band + i) + j, columns(band + i)).alias("c")) for j in (-1, 0, 1)]) for i in (-1, 0, 1)])))
+    left = places.withColumn("s", F.explode(around)).select("latitude", "longitude", "n", C("s.r").alias("r"), C("s.c").alias("c"))
+    near = left.join(right, ["r", "c"]).where(haversine_km(C("latitude"), C("longitude"), C("lat_b"), C("lon_b")) <= km)
+    return near.groupBy("latitude", "longitude").agg(F.max("n").alias("n_here"), (F.sum("n_b") - 1).alias("n_near"))

@@ -111,16 +111,23 @@ def scenario_grid(holdings: DataFrame, years: int = settings.HORIZON_YEARS) -> D
 
 
 def portfolio_risk(
-    holdings: DataFrame, years: float = settings.HORIZON_YEARS, rho: float = settings.PORTFOLIO_RHO, terms: int = 24,
+    holdings: DataFrame, years: float = settings.HORIZON_YEARS, rho: float = settings.PORTFOLIO_RHO, terms: int | None = None,
 ) -> DataFrame:
     """Mean, deviation, VaR and diversification of portfolios of correlated holdings, without pairing holdings.
 
     With A_i = V_i exp(mu_i T), Cov_ij = A_i A_j (exp(rho T s_i s_j) - 1) = sum_k (rho T)^k / k! (A_i s_i^k)(A_j s_j^k). Summed over
     pairs each term is a square of a sum, so one aggregation gives the variance; the diagonal (correlation one) is set right
-    apart. The series ends at `terms`; its remainder is below (rho T s^2)^terms / terms!. Mean, deviation and benefit are
-    exact; VaR and loss probability take the sum as lognormal with the same two moments (an approximation).
+    apart. The series runs until its terms for the largest volatility (found by one pass while the plan is built) fall below 1e-15 of their sum, so mean,
+    deviation and benefit are exact to rounding; VaR and loss probability take the sum as lognormal with the same two moments (an approximation).
     """
     c = rho * years
+    if terms is None:
+        x = abs(c) * float(holdings.agg(F.max(C("vol") * C("vol"))).first()[0] or 0.0)
+        term, total, terms = x, x, 1
+        while term > 1e-15 * total:
+            terms += 1
+            term *= x / terms
+            total += term
     a = C("value") * F.exp(C("drift") * years)
     var = C("vol") * C("vol") * years
     rows = holdings.withColumns({"__a": a, "__own": a * a * (F.expm1(var) - F.expm1(var * rho)), "__sd": a * F.sqrt(F.expm1(var))})

@@ -171,13 +171,10 @@ def components(spark, sf_dir):
 
 
 @query("gr12_nearby_locations", ctes(PLUTO, """
-places AS (SELECT latitude AS lat, longitude AS lon, count(*) AS n FROM pluto GROUP BY 1, 2),
-far AS (SELECT a.lat AS lat_a, a.lon AS lon_a, b.lat AS lat_b, b.lon AS lon_b, a.n * b.n AS n_pairs,
-    2 * 6371 * asin(sqrt(pow(sin(radians(b.lat - a.lat) / 2), 2) + cos(radians(a.lat)) * cos(radians(b.lat)) * pow(sin(radians(b.lon - a.lon) / 2), 2))) AS distance_km
-  FROM places a JOIN places b ON a.lat < b.lat OR (a.lat = b.lat AND a.lon < b.lon))""") + """
-SELECT lat_a, lon_a, lat_b, lon_b, distance_km, n_pairs FROM far WHERE distance_km <= 1.5
-UNION ALL SELECT lat, lon, lat, lon, CAST(0 AS DOUBLE), CAST(n * (n - 1) / 2 AS BIGINT) FROM places WHERE n > 1""",
-       floats="lat_a lon_a lat_b lon_b distance_km")
+places AS (SELECT latitude AS lat, longitude AS lon, count(*) AS n FROM pluto GROUP BY 1, 2)""") + """
+SELECT a.lat AS latitude, a.lon AS longitude, a.n AS n_here, CAST(sum(b.n) - 1 AS BIGINT) AS n_near FROM places a JOIN places b
+  ON 2 * 6371 * asin(sqrt(pow(sin(radians(b.lat - a.lat) / 2), 2) + cos(radians(a.lat)) * cos(radians(b.lat)) * pow(sin(radians(b.lon - a.lon) / 2), 2))) <= 1.5
+GROUP BY ALL""", floats="latitude longitude")
 def nearby_locations(spark, sf_dir):
     """Parcel locations within 1.5 km of each other (GR12)."""
     return ownership.nearby_locations(adapters.pluto(spark, sf_dir), 1.5)

@@ -8,6 +8,7 @@ from pyspark.sql.window import Window
 
 from brickyard import settings
 from brickyard.functions.scalars import money, number
+from brickyard.operators.staging import parse_day, parse_stamp
 
 def extract(
     df: DataFrame,
@@ -42,17 +43,17 @@ def extract_parcels(df: DataFrame, borough: int | None = None, limit: int | None
 
 def extract_sales(df: DataFrame, limit: int | None = None) -> DataFrame:
     """Sales above the minimum price (compared as a number), newest first."""
-    order = [F.col("sale_date").desc_nulls_last(), *_ties(df, "sale_date")]
+    order = [parse_day(df, "sale_date").desc_nulls_last(), *_ties(df, "sale_date")]
     return extract(df, money(df, "sale_price") > settings.MIN_SALE_PRICE, order=order, limit=limit)
 
 def extract_permits(df: DataFrame, since: str = settings.EXTRACT_SINCE, limit: int | None = None) -> DataFrame:
-    where = (F.col("filing_date") > F.lit(since).cast("timestamp")) & F.col("job_type").isin(settings.EXTRACT_PERMIT_TYPES)
-    order = [F.col("filing_date").desc_nulls_last(), *_ties(df, "filing_date")]
+    where = (parse_stamp(df, "filing_date") > F.lit(since).cast("timestamp")) & F.col("job_type").isin(settings.EXTRACT_PERMIT_TYPES)
+    order = [parse_stamp(df, "filing_date").desc_nulls_last(), *_ties(df, "filing_date")]
     return extract(df, where, order=order, limit=limit)
 
 def extract_violations(df: DataFrame, since: str = settings.EXTRACT_SINCE, limit: int | None = None) -> DataFrame:
-    order = [F.col("inspectiondate").desc_nulls_last(), *_ties(df, "inspectiondate")]
-    return extract(df, F.col("inspectiondate") > F.lit(since).cast("timestamp"), order=order, limit=limit)
+    order = [parse_stamp(df, "inspectiondate").desc_nulls_last(), *_ties(df, "inspectiondate")]
+    return extract(df, parse_stamp(df, "inspectiondate") > F.lit(since).cast("timestamp"), order=order, limit=limit)
 
 def resolve_caps(profile: str = settings.DEFAULT_PROFILE, **overrides: int | None) -> dict[str, int]:
     """Row caps of a profile; only positive overrides count."""
@@ -88,5 +89,3 @@ def macro_table(observations: DataFrame, series: list[str]) -> DataFrame:
     past = Window.partitionBy(F.lit(1)).orderBy("month").rowsBetween(Window.unboundedPreceding, 0)
     return months.join(monthly, "month", "left").select(
         "month", *[F.last(s, ignorenulls=True).over(past).alias(s) for s in series])
-
-__all__ = [n for n in dir() if n.startswith(("extract", "series", "macro", "resolve"))] + ["has"]

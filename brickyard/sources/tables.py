@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import json
-import os
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -86,6 +85,9 @@ def save_results_json(results: dict, path: str, max_rows: int = 200) -> None:
             return value
         return str(value)
 
-    os.makedirs(os.path.dirname(path) or ".", exist_ok=True)
-    with open(path, "w") as out:
-        json.dump(safe(results), out, indent=1, default=str)
+    text = json.dumps(safe(results), indent=1, default=str)
+    spark = SparkSession.active()
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    out = target.getFileSystem(spark._jsc.hadoopConfiguration()).create(target, True)
+    out.write(bytearray(text, "utf-8"))
+    out.close()
