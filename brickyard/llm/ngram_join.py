@@ -31,7 +31,7 @@ LOOSE = ((1, 2), (2, 6))
 LISTED = 128
 #: Signatures that are grouped inside a task before the shuffle.
 CHUNK = 300_000
-#: A set's parity sketch has this many words of 64 bits: the bits in which two sketches differ are no more than the elements in which the sets differ.
+#: Words of 64 bits of the short parity sketch that the self-join of a signature's classes compares.
 PARITY = 8
 #: Bits of the filter for classes whose sets are fetched: a fixed size; a full filter only lets more rows through to the exact join.
 FILTER_BITS = 23
@@ -156,18 +156,27 @@ def bitmap(names: DataFrame) -> np.ndarray:
     return out
 
 
-def parities(values: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    """Sets by PARITY words: each element flips one bit."""
-    bit = mix(values ^ np.uint64(0x1D8E4E27C47D124F)) >> np.uint64(64 - int(np.log2(64 * PARITY)))
+def flips(values: np.ndarray, offsets: np.ndarray, bits: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Parity sketches end to end as 64-bit words, and offsets: every element flips one of a set's `bits` (powers of two, 64 at least).
+
+    The bits in which the sketches of two sets differ are no more than the elements in which the sets differ.
+    """
+    place = mix(values ^ np.uint64(0x1D8E4E27C47D124F))
     row = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))
-    out = np.zeros((len(offsets) - 1, PARITY), np.uint64)
-    np.bitwise_xor.at(out, (row, (bit >> np.uint64(6)).astype(np.int64)), np.uint64(1) << (bit & np.uint64(63)))
-    return out.view(np.int64)
+    ends = np.concatenate([[0], np.cumsum(bits // 64)])
+    at = (place & (bits[row] - 1).astype(np.uint64)).astype(np.int64)
+    out = np.zeros(int(ends[-1]), np.uint64)
+    np.bitwise_xor.at(out, ends[row] + (at >> 6), np.uint64(1) << (at & 63).astype(np.uint64))
+    return out, ends
+
 
+def folded(x: np.ndarray, size: int) -> np.ndarray:
+    """A sketch with fewer bits."""
+    return np.bitwise_xor.reduce(x.reshape(-1, size), axis=0)
 
-def narrow(sets: DataFrame, side: str) -> DataFrame:
-    """Class, size and sketch under the names of one side of a pair."""
-    return sets.select(F.col("class").alias(side), F.col("n").alias("n_" + side), *(F.col(f"s{i}").alias(f"s{i}_{side}") for i in range(PARITY)))
+
+def sketch_columns(side: str) -> list[Column]:
+    return [F.col("class").alias(side), F.col("n").alias("n_" + side), *(F.col(f"s{i}").alias(f"s{i}_{side}") for i in range(PARITY))]
 
 
 def possible(percent: int) -> Column:
@@ -176,10 +185,29 @@ def possible(percent: int) -> Column:
     return F.expr(f"{100 + percent} * ({differ}) <= {100 - percent} * (n_a + n_b)")
 
 
-def linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def plausible(pairs: DataFrame, own: DataFrame, percent: int) -> DataFrame:
+    """(a, b, possible) by the long sketches, whose length goes with the set's size."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = []
+            for n, m, x, y in zip(*(batch.column(c).to_pylist() for c in ("n_a", "n_b", "x", "y")), strict=True):
+                most = (100 - percent) * (n + m) // (100 + percent)
+                x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+                size = min(len(x), len(y))
+                found.append(abs(n - m) <= most and int(np.bitwise_count(folded(x, size) ^ folded(y, size)).sum()) <= most)
+            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(found, pa.bool_())], ["a", "b", "possible"])
+
+    left = own.select(F.col("class").alias("a"), F.col("n").alias("n_a"), F.col("flips").alias("x"))
+    right = own.select(F.col("class").alias("b"), F.col("n").alias("n_b"), F.col("flips").alias("y"))
+    return pairs.join(left, "a").join(right, "b").select("a", "b", "n_a", "n_b", "x", "y").mapInArrow(run, "a long, b long, possible boolean")
+
+
+def linked(pairs: DataFrame, own: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame:
     """(a, b, similar) of pairs of classes. Whole sets are fetched for pairs that the sketches don't rule out."""
-    near = pairs.join(narrow(sets, "a"), "a").join(narrow(sets, "b"), "b").select("a", "b", possible(percent).alias("possible"))
-    near = written(near)
+    near = written(plausible(pairs, own, percent))
+    names = written(near.where("possible").select(F.explode(F.array("a", "b")).alias("class")).distinct())
+    sets = written(sets_of(texts, names, k))
     left = sets.select(F.col("class").alias("a"), F.col("items").alias("own"))
     right = sets.select(F.col("class").alias("b"), F.col("items").alias("other"))
     both = near.where("possible").join(left, "a").join(right, "b")
@@ -189,14 +217,22 @@ def linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def sketch(docs: DataFrame, k: int) -> DataFrame:
-    """doc_id, n_shingles, class."""
+    """doc_id, n_shingles, class, the short sketch s0.. and the long one `flips`."""
+    short = [f"s{i}" for i in range(PARITY)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in (p for b in batches for p in steps(b, "text")):
             values, offsets = shingle_sets(part.column("text"), k)
-            yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(np.diff(offsets)), pa.array(classes(values, offsets))], ["doc_id", "n_shingles", "class"])
+            size = np.diff(offsets)
+            few, _ = flips(values, offsets, np.full(len(size), 64 * PARITY))
+            few = few.reshape(-1, PARITY).view(np.int64)
+            many, ends = flips(values, offsets, 1 << np.maximum(6, np.ceil(np.log2(np.maximum(2 * size, 1))).astype(np.int64)))
+            raw = many.tobytes()
+            yield pa.RecordBatch.from_arrays([
+                part.column("doc_id"), pa.array(size), pa.array(classes(values, offsets)), *(pa.array(few[:, i]) for i in range(PARITY)),
+                pa.array([raw[8 * a:8 * b] for a, b in itertools.pairwise(ends.tolist())], pa.binary())], ["doc_id", "n_shingles", "class", *short, "flips"])
 
-    return docs.mapInArrow(run, "doc_id long, n_shingles long, class long")
+    return docs.mapInArrow(run, f"doc_id long, n_shingles long, class long, {', '.join(c + ' long' for c in short)}, flips binary")
 
 
 def first_stars(texts: DataFrame, k: int, percent: int, level: tuple[int, int]) -> DataFrame:
@@ -231,13 +267,10 @@ def sets_of(texts: DataFrame, names: DataFrame, k: int) -> DataFrame:
             rows = once[(sent.value[bit[once] >> 5] >> (bit[once] & 31) & 1).astype(bool)]
             lengths = np.diff(offsets)[rows]
             items = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32)), pa.array(values[ragged(offsets[:-1][rows], lengths)].view(np.int64)))
-            flips = parities(values, offsets)[rows]
-            yield pa.RecordBatch.from_arrays([pa.array(own[rows]), pa.array(lengths), *(pa.array(flips[:, i]) for i in range(PARITY)), items],
-                                             ["class", "n", *(f"s{i}" for i in range(PARITY)), "items"])
+            yield pa.RecordBatch.from_arrays([pa.array(own[rows]), items], ["class", "items"])
 
-    short = ["n", *(f"s{i}" for i in range(PARITY))]
-    found = texts.mapInArrow(run, f"class long, {', '.join(c + ' long' for c in short)}, items array<long>").join(names, "class", "left_semi")
-    return found.groupBy("class").agg(*(F.first(c).alias(c) for c in [*short, "items"]))
+    found = texts.mapInArrow(run, "class long, items array<long>").join(names, "class", "left_semi")
+    return found.groupBy("class").agg(F.first("items").alias("items"))
 
 
 def finer_stars(sets: DataFrame, percent: int, level: tuple[int, int]) -> DataFrame:
@@ -264,14 +297,11 @@ def unsettled(star: DataFrame, wrong: DataFrame, labels: DataFrame) -> DataFrame
     return members.join(spread, "sign")
 
 
-def similar_classes(texts: DataFrame, k: int, percent: int) -> DataFrame:
-    """(a, b): links between classes that join everything that is connected."""
+def similar_classes(texts: DataFrame, own: DataFrame, k: int, percent: int) -> DataFrame:
+    """(a, b): links between classes that join everything that is connected. `own`: class, n and sketches."""
     levels = LEVELS if percent >= 88 else LOOSE
     star = written(starred(first_stars(texts, k, percent, levels[0])))
-    pairs = written(star.select(F.col("p").alias("a"), F.col("x").alias("b")).distinct())
-    names = pairs.select(F.explode(F.array("a", "b")).alias("class")).distinct()
-    sets = written(sets_of(texts, written(names), k))
-    tried = linked(pairs, sets, percent)
+    tried = linked(star.select(F.col("p").alias("a"), F.col("x").alias("b")).distinct(), own, texts, k, percent)
     links = tried.where("similar").select("a", "b")
     for depth in range(len(levels)):
         wrong = tried.where("NOT similar").select("a", "b")
@@ -280,15 +310,15 @@ def similar_classes(texts: DataFrame, k: int, percent: int) -> DataFrame:
         rest = written(unsettled(star, wrong, components(links)))
         last = depth + 1 == len(levels)
         listed = rest if last else rest.where(F.col("n") <= LISTED)
-        left, right = (listed.select("sign", F.col("class").alias(c), F.col("label").alias("label_" + c)).join(narrow(sets, c), c) for c in "ab")
+        left, right = (listed.select("sign", F.col("class").alias(c), F.col("label").alias("label_" + c)).join(own.select(*sketch_columns(c)), c) for c in "ab")
         cross = left.join(right, (left["sign"] == right["sign"]) & F.expr("a < b AND label_a <> label_b") & possible(percent)).select("a", "b").distinct()
-        more = linked(written(cross.join(tried.select("a", "b"), ["a", "b"], "left_anti")), sets, percent)
+        more = linked(written(cross.join(tried.select("a", "b"), ["a", "b"], "left_anti")), own, texts, k, percent)
         links = written(links.unionByName(more.where("similar").select("a", "b")))
         common = written(rest.where(F.col("n") > LISTED).select("class").distinct())
         if last or not common.limit(1).count():
             break
-        star = written(starred(finer_stars(sets.join(common, "class", "left_semi"), percent, levels[depth + 1])))
-        tried = linked(star.select(F.col("p").alias("a"), F.col("x").alias("b")).distinct(), sets, percent)
+        star = written(starred(finer_stars(sets_of(texts, common, k), percent, levels[depth + 1])))
+        tried = linked(star.select(F.col("p").alias("a"), F.col("x").alias("b")).distinct(), own, texts, k, percent)
         links = links.unionByName(tried.where("similar").select("a", "b"))
     return links
 
@@ -303,8 +333,9 @@ def join_components(docs: DataFrame, k: int = 3, percent: int = 90) -> DataFrame
     """
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     rows = written(sketch(texts, k))
-    labels = components(similar_classes(texts.select("text"), k, percent))
-    own = rows.where("n_shingles > 0").groupBy("class").agg(F.min("doc_id").alias("least"))
+    kept = [F.first(c).alias(c) for c in (*(f"s{i}" for i in range(PARITY)), "flips")]
+    own = written(rows.where("n_shingles > 0").groupBy("class").agg(F.min("doc_id").alias("least"), F.first("n_shingles").alias("n"), *kept))
+    labels = components(similar_classes(texts.select("text"), own, k, percent))
     named = own.join(labels, F.col("class") == F.col("id"), "left").select("class", F.coalesce("component_id", "class").alias("label"), "least")
     group = named.groupBy("label").agg(F.min("least").alias("component_id"))
     by_class = named.join(group, "label").select("class", "component_id")
