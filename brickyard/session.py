@@ -7,6 +7,9 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: Spark's setting that removes a query's shuffle files when the query has ended.
+REMOVE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
 def build_session(name: str = "brickyard", cores: str | int = "*", **conf) -> SparkSession:
     """A local session for tests and the bench; a cluster brings its own."""
@@ -46,9 +49,15 @@ def written(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """Write a table (or some of its columns) to the checkpoint folder and read it back.
 
     Used where a result is read several times or an iteration would grow its plan: the lineage is cut, a lost
-    executor costs nothing, and later reads take only the columns they need.
+    executor costs nothing, and later reads take only the columns they need. The shuffles of the write are removed
+    when it ends, as nothing reads them again.
     """
     spark = df.sparkSession
     path = f"{checkpoint_folder(spark)}/brickyard/{uuid.uuid4().hex}"
-    (df.select(*columns) if columns else df).write.parquet(path)
+    before = spark.conf.get(REMOVE_SHUFFLES)
+    spark.conf.set(REMOVE_SHUFFLES, "true")
+    try:
+        (df.select(*columns) if columns else df).write.parquet(path)
+    finally:
+        spark.conf.set(REMOVE_SHUFFLES, before)
     return spark.read.parquet(path)
