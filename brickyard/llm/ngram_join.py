@@ -4,6 +4,10 @@ Sets of word shingles are put into bands of equal size. Two sets in a band (or a
 elements. The domain of shingles is hashed into k // (k2 + 1) + 1 parts; in one of them at least the sets differ by at most k2. Every part is hashed into n2
 smaller ones, and each choice of n2 - k2 of them is a signature: similar sets share one for certain.
 
+Below a similarity of 0.88 those choices hold two or three shingles, often none, and the sharper ones are many. There the first level signs whole parts, empty ones
+only for the few sets that could else share none, and the second has parts of a given mean size and a relative pigeonhole: in one part that isn't empty the sets are as similar as on the whole, so they share what is left of it without at most m * (100 - percent) // 100 of its m
+elements. Every such rest is a signature; none is empty.
+
 Equal sets are one class. Of a signature's classes, each is verified against the smallest only (first among those of a chunk of rows, then among the chunks'
 smallest), so a signature with many copies costs a row per copy and task, never all pairs. Where that leaves a signature with more than one component, its
 remaining pairs across components are verified too, after sharper signatures if the signature is common. No link is lost.
@@ -12,6 +16,7 @@ remaining pairs across components are verified too, after sharper signatures if
 from __future__ import annotations
 
 import itertools
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -26,7 +31,10 @@ from brickyard.session import written
 BAND = 1.7
 #: (k2, n2): differences allowed inside a part, and smaller parts in it; each level is complete by itself and sharper than the one before.
 LEVELS = ((1, 3), (2, 6))
-LOOSE = ((1, 2), (2, 6))
+#: Below 0.88: most elements of a part on average for `wholes`, mean elements of a part for `rests`.
+LOOSE = (3.6, 4)
+
+Level = tuple[int, int] | int | float
 #: Classes of a signature whose cross pairs are listed; a larger one goes to the next level (the last level has no limit).
 LISTED = 128
 #: Signatures that are grouped inside a task before the shuffle.
@@ -73,8 +81,81 @@ def bands(most: int) -> np.ndarray:
     return np.array(low)
 
 
-def signatures(values: np.ndarray, offsets: np.ndarray, percent: int, level: tuple[int, int]) -> tuple[np.ndarray, np.ndarray]:
+def rests(values: np.ndarray, offsets: np.ndarray, percent: int, mean: int) -> tuple[np.ndarray, np.ndarray]:
+    """Signatures by the relative pigeonhole: all large enough rests of each part. A set signs for its own band, and for the next as in `signatures`."""
+    size = np.diff(offsets)
+    low = bands(int(size.max(initial=1)) * 2)
+    own = np.searchsorted(low, size, side="right") - 1
+    out, who = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+    for ahead in (0, 1):
+        band = own + ahead
+        least = low[np.minimum(band, len(low) - 1)]
+        signs = (size > 0) & (size * (100 - percent) >= percent)
+        if ahead:
+            signs &= 100 * size >= percent * least
+        rows = np.flatnonzero(signs)
+        if not len(rows):
+            continue
+        parts, lengths = np.maximum(1, least[rows] * 5 // (4 * mean)), size[rows]
+        at, row = ragged(offsets[:-1][rows], lengths), np.repeat(np.arange(len(rows)), lengths)
+        u = mix(values[at] + band[rows][row].astype(np.uint64) * np.uint64(0x8CB92BA72F3D8DD7))
+        base = np.concatenate([[0], np.cumsum(parts)])
+        place = base[row] + ((u >> np.uint64(40)) * parts[row].astype(np.uint64) >> np.uint64(24)).astype(np.int64)
+        order = np.argsort(place, kind="stable")
+        place, item = place[order], mix(u ^ np.uint64(0x589965CC75374CC3))[order]
+        heads = np.flatnonzero(np.concatenate([[True], place[1:] != place[:-1]]))
+        count, whole, place = np.diff(np.append(heads, len(place))), np.add.reduceat(item, heads), place[heads]
+        mine = np.searchsorted(base, place, side="right") - 1
+        salt = (band[rows][mine] * 1_000_003 + place - base[mine]).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+        for m in np.unique(count).tolist():
+            some = np.flatnonzero(count == m)
+            inside = item[heads[some][:, None] + np.arange(m)]
+            for gone in range(m * (100 - percent) // 100 + 1):
+                choices = np.array(list(itertools.combinations(range(m), gone)), np.int64).reshape(math.comb(m, gone), gone)
+                sums = whole[some][:, None] - inside[:, choices].sum(axis=2, dtype=np.uint64)
+                out.append(mix(sums ^ salt[some][:, None]).ravel().view(np.int64))
+                who.append(np.repeat(rows[mine[some]], len(choices)))
+    return np.concatenate(out), np.concatenate(who)
+
+
+def wholes(values: np.ndarray, offsets: np.ndarray, percent: int, most: float) -> tuple[np.ndarray, np.ndarray]:
+    """Signatures that are whole parts, with at most `most` elements to a part on average. Similar sets differ in at most m * (100 - percent) // percent elements,
+    where m is the size of either. A set that fills more parts than that shares a filled part with every similar one; only another one signs its empty parts too."""
+    size = np.diff(offsets)
+    low = bands(int(size.max(initial=1)) * 2)
+    own = np.searchsorted(low, size, side="right") - 1
+    out, who = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+    for ahead in (0, 1):
+        band = own + ahead
+        signs = size * (100 - percent) >= percent
+        if ahead:
+            signs &= 100 * size >= percent * low[np.minimum(band, len(low) - 1)]
+        rows = np.flatnonzero(signs)
+        if not len(rows):
+            continue
+        highest, lengths = low[np.minimum(band[rows] + 1, len(low) - 1)] - 1, size[rows]
+        parts = np.maximum(np.ceil(highest / most).astype(np.int64), 2 * (100 - percent) * highest // (100 + percent) + 1)
+        at, row = ragged(offsets[:-1][rows], lengths), np.repeat(np.arange(len(rows)), lengths)
+        u = mix(values[at] + band[rows][row].astype(np.uint64) * np.uint64(0x8CB92BA72F3D8DD7))
+        base = np.concatenate([[0], np.cumsum(parts)])
+        place = base[row] + ((u >> np.uint64(40)) * parts[row].astype(np.uint64) >> np.uint64(24)).astype(np.int64)
+        sums = np.zeros(int(base[-1]), np.uint64)
+        np.add.at(sums, place, mix(u ^ np.uint64(0x589965CC75374CC3)))
+        full = np.zeros(len(sums), bool)
+        full[place] = True
+        filled = np.add.reduceat(full.astype(np.int64), base[:-1])
+        mine = np.repeat(np.arange(len(rows)), parts)
+        told = np.flatnonzero(full | (filled <= lengths * (100 - percent) // percent)[mine])
+        salt = (band[rows][mine] * 1_000_003 + np.arange(len(sums)) - base[mine]).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+        out.append(mix(sums ^ salt)[told].view(np.int64))
+        who.append(rows[mine[told]])
+    return np.concatenate(out), np.concatenate(who)
+
+
+def signatures(values: np.ndarray, offsets: np.ndarray, percent: int, level: Level) -> tuple[np.ndarray, np.ndarray]:
     """Signatures of the sets and the set of each. A set signs for its own band, and for the next if a set there can be similar to it."""
+    if not isinstance(level, tuple):
+        return (rests if isinstance(level, int) else wholes)(values, offsets, percent, level)
     k2, n2 = level
     size = np.diff(offsets)
     low = bands(int(size.max(initial=1)) * 2)
@@ -235,7 +316,7 @@ def sketch(docs: DataFrame, k: int) -> DataFrame:
     return docs.mapInArrow(run, f"doc_id long, n_shingles long, class long, {', '.join(c + ' long' for c in short)}, flips binary")
 
 
-def first_stars(texts: DataFrame, k: int, percent: int, level: tuple[int, int]) -> DataFrame:
+def first_stars(texts: DataFrame, k: int, percent: int, level: Level) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def parts() -> Iterator[tuple[np.ndarray, np.ndarray]]:
             for part in (p for b in batches for p in steps(b, "text")):
@@ -273,7 +354,7 @@ def sets_of(texts: DataFrame, names: DataFrame, k: int) -> DataFrame:
     return found.groupBy("class").agg(F.first("items").alias("items"))
 
 
-def finer_stars(sets: DataFrame, percent: int, level: tuple[int, int]) -> DataFrame:
+def finer_stars(sets: DataFrame, percent: int, level: Level) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def parts() -> Iterator[tuple[np.ndarray, np.ndarray]]:
             for batch in (b.slice(i, 64) for b in batches for i in range(0, b.num_rows, 64)):

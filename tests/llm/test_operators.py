@@ -179,7 +179,7 @@ def test_ngram_join_loses_no_link_in_large_groups(spark, monkeypatch, percent):
 
 
 @pytest.mark.parametrize("percent", [80, 90])
-@pytest.mark.parametrize("level", [(1, 2), (1, 3), (2, 6)])
+@pytest.mark.parametrize("level", [(1, 2), (1, 3), (2, 6), 3.6, 4, 6])
 def test_similar_sets_share_a_signature(percent, level):
     random = np.random.default_rng(5)
     for _ in range(120):
