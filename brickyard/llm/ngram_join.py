@@ -357,7 +357,7 @@ def sets_of(texts: DataFrame, names: DataFrame, k: int) -> DataFrame:
 def finer_stars(sets: DataFrame, percent: int, level: Level) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def parts() -> Iterator[tuple[np.ndarray, np.ndarray]]:
-            for batch in (b.slice(i, 64) for b in batches for i in range(0, b.num_rows, 64)):
+            for batch in (b.slice(i, 16) for b in batches for i in range(0, b.num_rows, 16)):
                 lists = batch.column("items")
                 offsets = np.concatenate([[0], np.cumsum(lists.value_lengths().to_numpy())]).astype(np.int64)
                 signs, who = signatures(lists.flatten().to_numpy().view(np.uint64), offsets, percent, level)
