@@ -1,8 +1,9 @@
 """Near-duplicate vectors by spherical-cap filters with structured random product codes (Becker, Ducas, Gama, Laarhoven 2016).
 
-Filter directions are all concatenations of unit code words, one per block of dimensions. A vector joins every filter whose direction it exceeds by the
-cap's height; the code's structure lets it list those directions block by block without trying all. Vectors of a filter are verified against each other
-in double precision. The number of filters grows with the number of vectors, so a filter of spread-out vectors keeps `PER_FILTER` of them at any size.
+Filter directions are all concatenations of unit code words, one per block of dimensions, after a random rotation. A vector joins the filters of each code whose
+directions are nearest to it, so its caps are as high as its own place in the code allows and no vector joins too few; the code's structure lets it find them
+block by block without trying all. Vectors of a filter are verified against each other in double precision. The number of filters grows with the number of
+vectors, so a filter of spread-out vectors keeps `PER_FILTER` of them at any size, and how many a vector joins is chosen for a stated miss rate at that size.
 """
 
 from __future__ import annotations
@@ -10,7 +11,6 @@ from __future__ import annotations
 import itertools
 import math
 from collections.abc import Iterator
-from statistics import NormalDist
 
 import numpy as np
 import pyarrow as pa
@@ -20,47 +20,73 @@ from pyspark.sql import functions as F
 from brickyard.llm.common import components
 from brickyard.session import written
 
-#: Filters that a vector joins, and vectors that a filter holds, both on average over spread-out vectors.
-FILTERS, PER_FILTER = 20, 16
-#: Independent codes that share these filters: with a single one, a vector whose blocks are far from all code words would join none.
-CODES = 8
+#: Vectors that a filter holds, on average over spread-out vectors.
+PER_FILTER = 16
+#: Independent codes, and the share of pairs just at the threshold that may meet in none of their filters, at any number of rows.
+CODES, MISS = 8, 1e-4
+#: Random pairs on which a code's recall is measured.
+TRIALS = 400
 #: Code words per block up to which two blocks do.
 WORDS_OF_TWO = 4096
 #: Vectors of a filter that meet in one cell; a larger filter is cut into parts, and each pair of parts is a cell.
 CELL = 1000
 
 
-def code(dims: int, vectors: int, number: int, seed: int = 29) -> tuple[list[np.ndarray], float]:
-    """Code words of each block, and the height of the cap, of one of the codes for so many vectors."""
-    filters = max(FILTERS, math.ceil(vectors * FILTERS / PER_FILTER)) / CODES
+def code(dims: int, vectors: int, best: int, number: int, seed: int = 29) -> tuple[np.ndarray, list[np.ndarray]]:
+    """The rotation and each block's code words of one of the codes, for so many vectors that join their `best` filters of it."""
+    filters = max(best, math.ceil(vectors * best / PER_FILTER))
     blocks = max(1, min(dims, 2 if filters <= WORDS_OF_TWO ** 2 else 3))
     size = max(2, math.ceil(filters ** (1 / blocks)))
     random = np.random.default_rng([seed, dims, number])
+    q, r = np.linalg.qr(random.normal(size=(dims, dims)))
     words = []
     for part in np.array_split(np.arange(dims), blocks):
         w = random.normal(size=(size, len(part)))
-        words.append(w / np.linalg.norm(w, axis=1, keepdims=True) / math.sqrt(blocks))
-    share = min(0.5, FILTERS / CODES / size ** blocks)
-    return words, NormalDist().inv_cdf(1 - share) / math.sqrt(dims)
+        words.append(w / np.linalg.norm(w, axis=1, keepdims=True))
+    return q * np.sign(np.diag(r)), words
 
 
-def exceeded(x: np.ndarray, words: list[np.ndarray], height: float) -> tuple[np.ndarray, np.ndarray]:
-    """(row, filter) of all directions that the unit rows of `x` exceed: the list is built block by block, dropping what can't reach the height any more."""
+def nearest(x: np.ndarray, rotation: np.ndarray, words: list[np.ndarray], best: int) -> np.ndarray:
+    """The `best` filters of each unit row of `x`, built block by block: a direction among the best of all begins with one among the best of its first blocks."""
+    x = x @ rotation
+    name, sofar = np.zeros((len(x), 1), np.int64), np.zeros((len(x), 1))
     edges = np.cumsum([0, *(w.shape[1] for w in words)])
-    scores = [x[:, a:b] @ w.T for (a, b), w in zip(itertools.pairwise(edges), words, strict=True)]
-    reach = [np.zeros(len(x))]
-    for s in reversed(scores[1:]):
-        reach.append(reach[-1] + s.max(axis=1))
-    row, name, sofar = np.arange(len(x)), np.zeros(len(x), np.int64), np.zeros(len(x))
-    for s, ahead in zip(scores, reversed(reach), strict=True):
-        found = [(row[:0], name[:0], sofar[:0])]
-        for at in range(0, len(row), 4096):
-            r = row[at:at + 4096]
-            total = sofar[at:at + 4096, None] + s[r]
-            i, c = np.nonzero(total + ahead[r, None] >= height)
-            found.append((r[i], name[at:at + 4096][i] * s.shape[1] + c, total[i, c]))
-        row, name, sofar = (np.concatenate(v) for v in zip(*found, strict=True))
-    return row, name
+    for (a, b), w in zip(itertools.pairwise(edges), words, strict=True):
+        scores = x[:, a:b] @ w.T
+        some = top(scores, best)
+        name = (name[:, :, None] * len(w) + some[:, None, :]).reshape(len(x), -1)
+        sofar = (sofar[:, :, None] + np.take_along_axis(scores, some, axis=1)[:, None, :]).reshape(len(x), -1)
+        some = top(sofar, best)
+        name, sofar = np.take_along_axis(name, some, axis=1), np.take_along_axis(sofar, some, axis=1)
+    return name
+
+
+def top(scores: np.ndarray, n: int) -> np.ndarray:
+    """Places of the `n` largest of each row."""
+    n = min(n, scores.shape[1])
+    return np.argpartition(scores, scores.shape[1] - n, axis=1)[:, scores.shape[1] - n:]
+
+
+def codes_for(dims: int, vectors: int, threshold: float) -> tuple[int, list[tuple[np.ndarray, list[np.ndarray]]]]:
+    """How many filters of each code a vector joins, and the codes, so that at most the share `MISS` of pairs at the threshold meets nowhere.
+
+    A pair's filters don't depend on other vectors, and a random rotation makes all pairs of one cosine alike and the codes independent; so the share that one code
+    misses, measured on random pairs with the very codes, counts to the power of `CODES`.
+    """
+    random = np.random.default_rng([31, dims])
+    x, y = random.normal(size=(2, TRIALS, dims))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    y -= (x * y).sum(axis=1, keepdims=True) * x
+    y /= np.maximum(np.linalg.norm(y, axis=1, keepdims=True), 1e-300)
+    y = threshold * x + math.sqrt(max(0.0, 1 - threshold ** 2)) * y
+    y /= np.linalg.norm(y, axis=1, keepdims=True)
+    best = 1
+    while True:
+        codes = [code(dims, vectors, best, number) for number in range(CODES)]
+        met = [(nearest(x, *one, best)[:, :, None] == nearest(y, *one, best)[:, None, :]).any(axis=(1, 2)) for one in codes]
+        if (1 - np.mean(met)) ** CODES <= MISS:
+            return best, codes
+        best += max(1, best // 4)
 
 
 def matrix(column: pa.Array) -> np.ndarray:
@@ -76,20 +102,19 @@ def linkable() -> Column:
     return F.coalesce(fine, F.lit(False))
 
 
-def joined_filters(vectors: DataFrame, dims: int, n: int) -> DataFrame:
+def joined_filters(vectors: DataFrame, dims: int, n: int, threshold: float = 0.95) -> DataFrame:
     """rep, weight, embedding, filters of vectors with `dims` dimensions."""
-    sent = vectors.sparkSession.sparkContext.broadcast([code(dims, n, number) for number in range(CODES)])
+    sent = vectors.sparkSession.sparkContext.broadcast(codes_for(dims, n, threshold))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in (b.slice(i, 256) for b in batches for i in range(0, b.num_rows, 256)):
             x = matrix(part.column("embedding"))
             x /= np.abs(x).max(axis=1, keepdims=True)
             x /= np.linalg.norm(x, axis=1, keepdims=True)
-            each = [exceeded(x, *one) for one in sent.value]
-            row, name = np.concatenate([r for r, _ in each]), np.concatenate([f * CODES + number for number, (_, f) in enumerate(each)])
-            order = np.argsort(row, kind="stable")
-            ends = np.searchsorted(row[order], np.arange(len(x) + 1)).astype(np.int32)
-            yield pa.RecordBatch.from_arrays([part.column("rep"), part.column("weight"), part.column("embedding"), pa.ListArray.from_arrays(pa.array(ends), pa.array(name[order]))],
+            best, codes = sent.value
+            name = np.concatenate([nearest(x, *one, best) * CODES + number for number, one in enumerate(codes)], axis=1)
+            ends = (np.arange(len(x) + 1) * name.shape[1]).astype(np.int32)
+            yield pa.RecordBatch.from_arrays([part.column("rep"), part.column("weight"), part.column("embedding"), pa.ListArray.from_arrays(pa.array(ends), pa.array(name.ravel()))],
                                              ["rep", "weight", "embedding", "filters"])
 
     kind = vectors.schema["embedding"].dataType.simpleString()
@@ -97,8 +122,9 @@ def joined_filters(vectors: DataFrame, dims: int, n: int) -> DataFrame:
 
 
 def cells(rows: DataFrame) -> DataFrame:
-    """One row per filter and part pair of a vector: cell (filter, i, j) holds parts i and j of the filter."""
+    """One row per filter and part pair of a vector: cell (filter, i, j) holds parts i and j of the filter. Of the vector's filters only smaller ones go along."""
     opened = rows.select("rep", "weight", "embedding", "filters", F.explode("filters").alias("filter"))
+    opened = opened.withColumn("filters", F.filter("filters", lambda f: f < F.col("filter")))
     sizes = rows.select(F.explode("filters").alias("filter")).groupBy("filter").agg(F.count("*").alias("n")).where("n > 1")
     parts = sizes.select("filter", F.ceil(F.col("n") / CELL).cast("int").alias("parts"))
     mine = opened.join(parts, "filter").withColumn("part", F.pmod(F.xxhash64("rep", "filter"), F.col("parts")).cast("int"))
@@ -150,7 +176,8 @@ def verify(threshold: float):
 def near_duplicates(vectors: DataFrame, threshold: float = 0.95) -> DataFrame:
     """vec_id, n_links, component_id, kept: one row per row of `vectors`.
 
-    Links have a cosine of at least `threshold` in double precision; the filters find all but a small share of them (tests measure the recall), and none below.
+    Links have a cosine of at least `threshold` in double precision; the filters miss at most about the share `MISS` of those just at the threshold,
+    fewer of nearer ones, and give none below.
     n_links counts other rows linked directly, component_id is the smallest vec_id reachable, kept tells whether the row is that one. Vectors that are null, empty, zero or
     hold null or non-finite components link with nothing: component_id is their own id. Vectors of different lengths don't link. Equal vectors are one class: they
     are verified once and counted with their number. Rows without an id count as links but name no component. An empty table gives an empty result; other columns
@@ -163,7 +190,7 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.95) -> DataFrame:
     found = None
     for shape in sorted(shapes):
         mine = reps.where(F.size("embedding") == shape["dims"]).select("rep", "weight", "embedding")
-        rows = written(joined_filters(mine, shape["dims"], shape["count"]))
+        rows = written(joined_filters(mine, shape["dims"], shape["count"], threshold))
         near = cells(rows).groupBy("filter", "i", "j").applyInArrow(verify(threshold), "rep long, n long, root long")
         found = near if found is None else found.unionByName(near)
     ids = F.col("vec_id").cast("long").alias("vec_id")

@@ -149,6 +149,19 @@ def test_cap_filters_against_all_pairs(spark):
     assert cap_filters.near_duplicates(spark.createDataFrame([], "vec_id long, embedding array<float>, label int")).count() == 0
 
 
+@pytest.mark.parametrize("n", [20_000, 10_000_000])
+def test_recall_does_not_fall_with_the_number_of_rows(spark, n):
+    random = np.random.default_rng(6)
+    x, u = random.normal(size=(2, 300, 64))
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    u -= (x * u).sum(axis=1)[:, None] * x
+    y = 0.95 * x + math.sqrt(1 - 0.95 ** 2) * u / np.linalg.norm(u, axis=1)[:, None]
+    rows = [(i, 1, [float(c) for c in v]) for i, v in enumerate(np.concatenate([x, y]))]
+    vectors = spark.createDataFrame(rows, "rep long, weight long, embedding array<double>")
+    got = {r["rep"]: set(r["filters"]) for r in cap_filters.joined_filters(vectors, 64, n).collect()}
+    assert sum(bool(got[i] & got[i + 300]) for i in range(300)) >= 299
+
+
 def test_large_filters_are_cut_into_cells(spark, monkeypatch):
     monkeypatch.setattr(cap_filters, "CELL", 20)
     random = np.random.default_rng(4)
