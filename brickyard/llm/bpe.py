@@ -40,7 +40,7 @@ Coded = tuple[bytes, bytes]
 
 
 class Words:
-    """Encoded words by their 64-bit hash: sorted keys, and the ids and decoded bytes of all words end to end (about 40 bytes a word)."""
+    """Encoded words by the 64-bit hash of their exact bytes, as the tokenizer isn't blind to case everywhere: sorted keys, and the ids and decoded bytes of all words end to end (about 40 bytes a word)."""
 
     def __init__(self):
         self.keys, self.place = np.empty(0, np.uint64), np.empty(0, np.int64)
@@ -127,7 +127,7 @@ class Encoder:
         """Stretches that white space or an end of the text bounds on both sides. Each word that isn't in the store is encoded once for all of them."""
         flat = b"".join(stretches)
         offsets = np.cumsum([0, *map(len, stretches)])
-        hashes, starts, ends, marks = word_spans(np.frombuffer(flat, np.uint8), offsets)
+        hashes, starts, ends, marks = word_spans(np.frombuffer(flat, np.uint8), offsets, cased=True)
         if not len(hashes):
             return [(b"", b"")] * len(stretches)
         keys, first, which = np.unique(hashes, return_index=True, return_inverse=True)

@@ -57,14 +57,14 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def _table_of_bytes() -> np.ndarray:
+def _table_of_bytes(cased: bool = False) -> np.ndarray:
     values = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
-    for c in range(ord("A"), ord("Z") + 1):
+    for c in () if cased else range(ord("A"), ord("Z") + 1):
         values[c] = values[c + 32]
     return values
 
 
-_BYTE = _table_of_bytes()
+_BYTE, _CASED = _table_of_bytes(), _table_of_bytes(cased=True)
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
 _BASE = 0x9E3779B97F4A7C15 | 1
@@ -100,8 +100,8 @@ def steps(batch: pa.RecordBatch, column: str, limit: int = STEP_BYTES) -> Iterat
         at = to
 
 
-def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """64-bit hashes of the lower-cased (A-Z) words of texts laid end to end, their starts and ends, and the len+1 offsets of the texts' words."""
+def word_spans(data: np.ndarray, offsets: np.ndarray, cased: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """64-bit hashes of the lower-cased (A-Z; `cased`: exact) words of texts laid end to end, their starts and ends, and the len+1 offsets of the texts' words."""
     if not len(data):
         none = np.empty(0, np.int64)
         return np.empty(0, np.uint64), none, none, np.zeros(len(offsets), np.int64)
@@ -115,7 +115,7 @@ def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nd
     last[tails] = ink[tails]
     starts, ends = np.flatnonzero(first), np.flatnonzero(last)
     up, down = powers(len(data))
-    sums = np.cumsum(np.where(ink, _BYTE[data], np.uint64(0)) * up, dtype=np.uint64)
+    sums = np.cumsum(np.where(ink, (_CASED if cased else _BYTE)[data], np.uint64(0)) * up, dtype=np.uint64)
     ahead = np.where(starts > 0, sums[np.maximum(starts, 1) - 1], np.uint64(0))
     value = (sums[ends] - ahead) * down[starts]
     hashes = mix(value ^ ((ends - starts).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)))

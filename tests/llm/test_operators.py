@@ -199,3 +199,11 @@ def test_empty_tables(none):
     assert sharding.interleave(none).count() == 0 and mixing.mix_sources(none).count() == 0 and mixing.take(none).count() == 0
     assert exact_dedup.decisions(none).count() == 0 and exact_dedup.keep(none).count() == 0
     assert ngram_join.join_components(none).count() == 0 and ngram_join.keep(none).count() == 0
+
+
+@pytest.mark.parametrize("pair", [("<|endoftext|>", "<|ENDOFTEXT|>"), ("<|startoftext|>", "<|StartOfText|>"), ("j\u030c", "J\u030c"), ("t\u0308", "T\u0308")])
+def test_spellings_that_differ_in_case_only(pair):
+    for texts in (pair, pair[::-1]):
+        own = bpe.Encoder(tokenizer_path())
+        found = own.documents([t.encode() for t in texts], [[], []])
+        assert [np.frombuffer(ids, "<u4").tolist() for ids, _ in found] == [own.whole.encode(t, add_special_tokens=False).ids for t in texts]
