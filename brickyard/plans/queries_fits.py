@@ -5,22 +5,20 @@ from __future__ import annotations
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
-from brickyard.operators import density, distress, distress_model, reports, segments, valuation
+from brickyard.operators import density, distress, distress_model, features, reports, segments, valuation
 from brickyard.plans.oracle_views import SALES, STAGED_SALES
-from brickyard.plans.queries_layers import staged_sales
+from brickyard.plans.queries_layers import staged_parcels, staged_sales
 from brickyard.plans.queries_market import SCORED_ALL, scored, stored
-from brickyard.plans.queries_models import labelled
 from brickyard.plans.registry import ctes, query
 from brickyard.sources import adapters
 
 C = F.col
-MODEL_COLUMNS = ["sale_id", "bbl", "sale_price", "gross_square_feet", "land_square_feet", "numfloors", "building_age", "floor_area_ratio",
-                 "commercial_ratio", "is_recently_renovated", "dist_to_cbd_km", "min_landmark_dist_km", "is_manhattan",
-                 "neighborhood_avg_price", "neighborhood_sales_volume", "neighborhood_permit_activity", "sale_year", "sale_quarter"]
 
 
 def model_table(spark, sf_dir):
-    return stored(spark, sf_dir, *MODEL_COLUMNS)
+    """The whole feature table, encoded and imputed."""
+    return features.engineer_features(staged_parcels(spark, sf_dir), staged_sales(spark, sf_dir), adapters.permits(spark, sf_dir),
+                                      adapters.violations(spark, sf_dir))
 
 
 @query("hr02_ols_two_features", ctes(SALES, STAGED_SALES, """
@@ -71,16 +69,16 @@ def prediction_metrics(spark, sf_dir):
 
 @query("hr05_boosted_scores")
 def boosted_scores(spark, sf_dir):
-    """Boosted trees (20 of them here) and the prices they predict for every complete sale (HR5, HR8)."""
+    """Boosted trees and the prices they predict for every complete sale (HR5, HR8)."""
     table = model_table(spark, sf_dir)
-    model = valuation.fit_gradient_boosting(table, trees=20)
+    model = valuation.fit_gradient_boosting(table)
     return valuation.predict_value(table, boosted=model).select("sale_id", "bbl", "sale_price", "predicted_value")
 
 
 @query("hr06_stacked_ensemble")
 def stacked(spark, sf_dir):
-    """Stack of ridge, 5 boosted trees and 5 forest trees over five folds (HR6)."""
-    model = valuation.StackedModel.fit(model_table(spark, sf_dir), trees=5, forest=5)
+    """Stack of ridge, boosted trees and a forest over five folds (HR6)."""
+    model = valuation.StackedModel.fit(model_table(spark, sf_dir))
     return reports.leaderboard(spark, {"stacked_ensemble": model.results})
 
 
@@ -184,9 +182,9 @@ def projection(spark, sf_dir):
 # --- distress model -------------------------------------------------------
 @query("ds03_distress_scores")
 def distress_scores(spark, sf_dir):
-    """Calibrated probabilities and risk tiers of all sales from 10 boosted trees of depth 4 (DS3, DS4, DS6, DS7)."""
-    table = labelled(spark, sf_dir)
-    model = distress_model.fit_distress(table, trees=10, depth=4)
+    """Calibrated probabilities and risk tiers of all sales from boosted trees (DS3, DS4, DS6, DS7)."""
+    table = distress.distress_labels(model_table(spark, sf_dir), adapters.violations(spark, sf_dir))
+    model = distress_model.fit_distress(table)
     return model.score(table).select("sale_id", "bbl", "is_distressed", "distress_probability", "risk_tier")
 
 
