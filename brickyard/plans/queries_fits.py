@@ -108,8 +108,8 @@ def scaled_features(spark, sf_dir):
 
 @query("cl02_cluster_search")
 def cluster_search(spark, sf_dir):
-    """Cost, silhouette and Calinski-Harabasz for k = 2..5, two restarts (CL2)."""
-    rows = segments.search_k(segment_table(spark, sf_dir), max_k=5, restarts=2)
+    """Cost, silhouette and Calinski-Harabasz for k = 2..12 (CL2)."""
+    rows = segments.search_k(segment_table(spark, sf_dir))
     return spark.createDataFrame([(r["k"], r["inertia"], r["silhouette"], r["calinski_harabasz"], r["is_best"]) for r in rows],
                                  "k int, inertia double, silhouette double, calinski_harabasz double, is_best int")
 
@@ -117,7 +117,7 @@ def cluster_search(spark, sf_dir):
 @query("cl03_kmeans_clusters")
 def kmeans_clusters(spark, sf_dir):
     """Cluster of every complete sale (CL3)."""
-    return segments.fit_kmeans(segment_table(spark, sf_dir), k=5, restarts=2)[0].select("sale_id", "bbl", "cluster")
+    return segments.fit_kmeans(segment_table(spark, sf_dir))[0].select("sale_id", "bbl", "cluster")
 
 
 @query("cl05_silhouette", """
