@@ -58,8 +58,8 @@ def modularity(edges: DataFrame, labels: DataFrame) -> DataFrame:
     return inside.select((C("inside") / C("m") - degrees / (4 * C("m") * C("m"))).alias("modularity"))
 
 
-def _moves(both: DataFrame, labels: DataFrame, total: float, turn: int) -> DataFrame:
-    """One synchronous round: half of the nodes (by hash) go to the neighbouring community with the largest gain.
+def _moves(both: DataFrame, labels: DataFrame, total: float, turn: int | None) -> DataFrame:
+    """One synchronous round: half of the nodes (by hash; all of them without a turn) go to the neighbouring community with the largest gain.
 
     Two single-node communities may only merge towards the smaller name, or they would swap places for ever.
     """
@@ -74,7 +74,7 @@ def _moves(both: DataFrame, labels: DataFrame, total: float, turn: int) -> DataF
     best = scored.where(allowed).groupBy("id").agg(
         F.max_by(F.struct("target", "gain"), F.struct("gain", "mine", "target")).alias("best"),
         F.max(F.when(C("mine"), C("gain"))).alias("stay"))
-    turned = F.pmod(F.xxhash64("id", F.lit(turn)), F.lit(2)) == 0
+    turned = F.lit(True) if turn is None else F.pmod(F.xxhash64("id", F.lit(turn)), F.lit(2)) == 0
     # a node with no link into its own community would stay at this gain
     stay = F.coalesce("stay", -C("degree") * (C("own_tot") - C("degree")) / total)
     own_tot = own.select("id", "community", "degree", "own_tot")
@@ -83,9 +83,11 @@ def _moves(both: DataFrame, labels: DataFrame, total: float, turn: int) -> DataF
         "degree", C("community").alias("before"))
 
 
-def communities(edges: DataFrame, max_rounds: int = 12, max_levels: int = 5) -> DataFrame:
+def communities(edges: DataFrame, max_rounds: int = 500, max_levels: int = 100) -> DataFrame:
     """(id, community) by greedy modularity: local moves, then the same on the graph of communities.
 
+    Both run until no node would move; a limit that is met first is an error.
+
     Edges are undirected, (src, dst) or (src, dst, weight), each given once. A community is named by one of its nodes.
     """
     if "weight" not in edges.columns:
@@ -99,15 +101,16 @@ def communities(edges: DataFrame, max_rounds: int = 12, max_levels: int = 5) ->
         total = labels.agg(F.sum("degree")).first()[0]
         if not total:
             break
-        quiet, moved_any = 0, False
+        moved_any = False
         for turn in range(max_rounds):
             moved = written(_moves(both, labels, total, turn + 100 * level))
             changed = not moved.where(C("community") != C("before")).isEmpty()
             labels = moved.drop("before")
             moved_any |= changed
-            quiet = 0 if changed else quiet + 1
-            if quiet == 2:  # both halves had their turn
+            if not changed and _moves(both, labels, total, None).where(C("community") != C("before")).isEmpty():
                 break
+        else:
+            raise RuntimeError("communities did not settle")
         step = labels.select("id", "community")
         if result is None:
             result = step
@@ -119,6 +122,8 @@ def communities(edges: DataFrame, max_rounds: int = 12, max_levels: int = 5) ->
         a, b = step.select(C("id").alias("src"), C("community").alias("ca")), step.select(C("id").alias("dst"), C("community").alias("cb"))
         graph = written(graph.join(a, "src").join(b, "dst").groupBy(F.least("ca", "cb").alias("src"), F.greatest("ca", "cb").alias("dst"))
                         .agg(F.sum("weight").alias("weight")))
+    else:
+        raise RuntimeError("levels of communities did not settle")
     return result
 
 

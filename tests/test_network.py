@@ -92,3 +92,9 @@ def test_propensity_edges(spark):
     out = distress.propensity_to_sell(df).orderBy(F.desc("propensity_to_sell_score")).collect()
     assert [round(r["propensity_to_sell_score"], 2) for r in out] == [0.8, 0.0, 0.0]
     assert [r["sell_likelihood"] for r in out] == ["High", None, None]
+
+
+def test_unsettled_communities_are_an_error(spark):
+    chain = spark.createDataFrame([(f"n{i:02d}", f"n{i + 1:02d}") for i in range(24)], "src string, dst string")
+    with pytest.raises(RuntimeError):
+        communities.communities(chain, max_rounds=1)
