@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from brickyard.llm import bpe, cap_filters, exact_dedup, fixity, language_id, mixing, ngram_join, pii, sharding, suffix_tree, whitening
+from brickyard.llm import bpe, cap_filters, exact_dedup, fingerprints, fixity, language_id, mixing, ngram_join, pii, sharding, suffix_tree, whitening
 from brickyard.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -84,3 +84,8 @@ def find_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op12_polarisation_whitening")
 def whiten_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
+@query("op13_closed_syncmers")
+def fingerprint_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.fingerprints(table(spark, sf_dir, "documents"))
