@@ -100,11 +100,8 @@ def steps(batch: pa.RecordBatch, column: str, limit: int = STEP_BYTES) -> Iterat
         at = to
 
 
-def word_spans(data: np.ndarray, offsets: np.ndarray, cased: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """64-bit hashes of the lower-cased (A-Z; `cased`: exact) words of texts laid end to end, their starts and ends, and the len+1 offsets of the texts' words."""
-    if not len(data):
-        none = np.empty(0, np.int64)
-        return np.empty(0, np.uint64), none, none, np.zeros(len(offsets), np.int64)
+def spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Which bytes of texts laid end to end belong to words, the words' starts and ends, and the len+1 offsets of the texts' words."""
     ink = ~_SPACE[data]
     first, last = ink.copy(), ink.copy()
     first[1:] &= ~ink[:-1]
@@ -113,13 +110,23 @@ def word_spans(data: np.ndarray, offsets: np.ndarray, cased: bool = False) -> tu
     heads, tails = offsets[:-1][filled], offsets[1:][filled] - 1
     first[heads] = ink[heads]
     last[tails] = ink[tails]
-    starts, ends = np.flatnonzero(first), np.flatnonzero(last)
+    starts = np.flatnonzero(first)
+    return ink, starts, np.flatnonzero(last) + 1, np.searchsorted(starts, offsets)
+
+
+def word_spans(data: np.ndarray, offsets: np.ndarray, cased: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """64-bit hashes of the lower-cased (A-Z; `cased`: exact) words of texts laid end to end, their starts and ends, and the len+1 offsets of the texts' words."""
+    if not len(data):
+        none = np.empty(0, np.int64)
+        return np.empty(0, np.uint64), none, none, np.zeros(len(offsets), np.int64)
+    ink, starts, ends, bounds = spans(data, offsets)
+    ends = ends - 1
     up, down = powers(len(data))
     sums = np.cumsum(np.where(ink, (_CASED if cased else _BYTE)[data], np.uint64(0)) * up, dtype=np.uint64)
     ahead = np.where(starts > 0, sums[np.maximum(starts, 1) - 1], np.uint64(0))
     value = (sums[ends] - ahead) * down[starts]
     hashes = mix(value ^ ((ends - starts).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)))
-    return hashes, starts, ends + 1, np.searchsorted(starts, offsets)
+    return hashes, starts, ends + 1, bounds
 
 
 def words(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from brickyard.llm import bpe, cap_filters, exact_dedup, fingerprints, fixity, language_id, mixing, ngram_join, pii, sharding, suffix_tree, whitening
+from brickyard.llm import bpe, cap_filters, exact_dedup, fingerprints, fixity, language_id, mixing, ngram_join, periodic_runs, pii, sharding, suffix_tree, whitening
 from brickyard.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -81,6 +81,11 @@ def find_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.find_digests(table(spark, sf_dir, "documents"))
 
 
+@query("op11_repair_runs")
+def find_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic_runs.run_digests(table(spark, sf_dir, "documents"))
+
+
 @query("op12_polarisation_whitening")
 def whiten_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whiten(table(spark, sf_dir, "embeddings"))
