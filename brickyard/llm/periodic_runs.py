@@ -191,13 +191,21 @@ class Crossing:
         self.runs: list[Interval] = []
         self.met: list[tuple[int, int]] = []
         self.near: dict[int, list[Interval]] = defaultdict(list)
+        self.period, self.until = np.zeros(len(word), np.int64), np.zeros(len(word), np.int64)  # of the run that holds a word and ends last
 
     def search(self, text: np.ndarray, bounds: np.ndarray) -> Crossing:
         for candidates in (short_periods(self.word, bounds), long_periods(self.word, text, bounds)):
             for q, places in candidates:
-                self.of_period(q, places.tolist())
+                self.of_period(q, places[self.open(q, places - 1) | self.open(q, places - q)].tolist())
         return self
 
+    def open(self, q: int, i: np.ndarray) -> np.ndarray:
+        """Whether the words i and i + q are the same, and not as part of a run of a shorter period that divides `q`."""
+        inside = (i >= 0) & (i + q < len(self.word))
+        i = np.where(inside, i, 0)
+        within = (self.until[i] > i + q) & (q % np.maximum(self.period[i], 1) == 0) & (self.period[i] < q)
+        return inside & ~within & (self.word[i] == self.word[np.minimum(i + q, len(self.word) - 1)])
+
     def repeats(self, start: int, end: int, q: int, at: int) -> bool:
         """Whether the words from `start` to `end`, of period `q`, repeat with a shorter period: a run of a divisor of `q` that holds `q` of them says so."""
         return any(q % p == 0 and min(b, end) - max(a, start) >= q for a, b, p in self.near.get(at >> 6, ()))
@@ -211,7 +219,7 @@ class Crossing:
                     continue
                 run = next((k for k in known if k[0] <= i and i + q < k[1]), None)
                 if run is None:
-                    if self.repeats(m - q, m, q, m) and self.repeats(m, m + q, q, m):
+                    if self.repeats(i, i + q + 1, q, i):
                         continue
                     start, end = i - agree(self.word, i, i + q, back=True), i + q + agree(self.word, i, i + q, back=False)
                     run = (start, end, self.add(start, end, q, m))
@@ -224,6 +232,8 @@ class Crossing:
         if not long_enough(end - start, q) or self.repeats(start, end, q, at):
             return -1
         self.runs.append((start, end, q))
+        later = np.flatnonzero(self.until[start:end] < end) + start
+        self.period[later], self.until[later] = q, end
         for block in range(start >> 6, (end >> 6) + 1):
             self.near[block].append((start, end, q))
         return len(self.runs) - 1
