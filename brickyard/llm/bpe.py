@@ -19,7 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from brickyard.llm.common import _BYTE, ragged, steps, text_bytes, word_spans
+from brickyard.llm.common import _BYTE, ragged, spans, steps, text_bytes, word_hashes
 
 #: A chunk ends where this many low bits of the rolling hash are zero: 512 bytes on average.
 CUT_BITS = 9
@@ -40,28 +40,41 @@ Coded = tuple[bytes, bytes]
 
 
 class Words:
-    """Encoded words by the 64-bit hash of their exact bytes, as the tokenizer isn't blind to case everywhere: sorted keys, and the ids and decoded bytes of all words end to end (about 40 bytes a word)."""
+    """Encoded words by their exact bytes, as the tokenizer isn't blind to case everywhere: sorted hashes that lead to a place, where a word's bytes are compared, and
+    the bytes, ids and decoded bytes of all words end to end (about 50 bytes a word)."""
 
     def __init__(self):
         self.keys, self.place = np.empty(0, np.uint64), np.empty(0, np.int64)
+        self.raw, self.raw_ends = np.empty(0, np.uint8), np.zeros(1, np.int64)
         self.ids, self.ends = np.empty(0, "<u4"), np.zeros(1, np.int64)
         self.text, self.text_ends = np.empty(0, np.uint8), np.zeros(1, np.int64)
 
-    def find(self, keys: np.ndarray) -> np.ndarray:
-        """Place of each key, -1 if it isn't there."""
+    def find(self, keys: np.ndarray, raw: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """Place of each word of `raw`, -1 if it isn't there: a hash that another word has doesn't count."""
         if not len(self.keys):
             return np.full(len(keys), -1)
         at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
-        return np.where(self.keys[at] == keys, self.place[at], -1)
-
-    def add(self, keys: np.ndarray, coded: list[Coded]) -> None:
-        """Sorted new keys."""
-        at, n = np.searchsorted(self.keys, keys), len(self.ends) - 1
-        self.keys, self.place = np.insert(self.keys, at, keys), np.insert(self.place, at, np.arange(n, n + len(keys)))
-        for i, (flat, ends, kind) in enumerate((("ids", "ends", "<u4"), ("text", "text_ends", np.uint8))):
-            lengths = np.array([len(c[i]) for c in coded], np.int64) // np.dtype(kind).itemsize
-            setattr(self, flat, np.concatenate([getattr(self, flat), np.frombuffer(b"".join([c[i] for c in coded]), kind)]))
+        place, lengths = self.place[at], np.diff(ends)
+        same = (self.keys[at] == keys) & (self.raw_ends[place + 1] - self.raw_ends[place] == lengths)
+        rows = np.flatnonzero(same)
+        differ = self.raw[ragged(self.raw_ends[place[rows]], lengths[rows])] != raw[ragged(ends[rows], lengths[rows])]
+        same[np.repeat(rows, lengths[rows])[differ]] = False
+        return np.where(same, place, -1)
+
+    def add(self, keys: np.ndarray, words: list[bytes], coded: list[Coded]) -> np.ndarray:
+        """Places of new words. A word whose hash is taken is found no more, and encoded anew when it comes again."""
+        places = np.arange(len(self.ends) - 1, len(self.ends) - 1 + len(words))
+        fresh, first = np.unique(keys, return_index=True)
+        at = np.searchsorted(self.keys, fresh)
+        free = np.ones(len(fresh), bool)
+        inside = at < len(self.keys)
+        free[inside] = self.keys[at[inside]] != fresh[inside]
+        self.keys, self.place = np.insert(self.keys, at[free], fresh[free]), np.insert(self.place, at[free], places[first[free]])
+        for parts, flat, ends, kind in ((words, "raw", "raw_ends", np.uint8), ([c[0] for c in coded], "ids", "ends", "<u4"), ([c[1] for c in coded], "text", "text_ends", np.uint8)):
+            lengths = np.array(list(map(len, parts)), np.int64) // np.dtype(kind).itemsize
+            setattr(self, flat, np.concatenate([getattr(self, flat), np.frombuffer(b"".join(parts), kind)]))
             setattr(self, ends, np.concatenate([getattr(self, ends), getattr(self, ends)[-1] + np.cumsum(lengths)]))
+        return places
 
 
 def cuts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
@@ -125,18 +138,25 @@ class Encoder:
 
     def encode_stretches(self, stretches: list[bytes]) -> list[Coded]:
         """Stretches that white space or an end of the text bounds on both sides. Each word that isn't in the store is encoded once for all of them."""
-        flat = b"".join(stretches)
+        data = np.frombuffer(b"".join(stretches), np.uint8)
         offsets = np.cumsum([0, *map(len, stretches)])
-        hashes, starts, ends, marks = word_spans(np.frombuffer(flat, np.uint8), offsets, cased=True)
-        if not len(hashes):
+        ink, starts, ends, marks = spans(data, offsets)
+        if not len(starts):
             return [(b"", b"")] * len(stretches)
-        keys, first, which = np.unique(hashes, return_index=True, return_inverse=True)
-        if len(self.words.keys) > WORDS:
+        bounds = np.concatenate([[0], np.cumsum(ends - starts)])
+        every = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(bounds), pa.py_buffer(np.ascontiguousarray(data[ink]))])
+        coded = every.dictionary_encode()
+        which, words = coded.indices.to_numpy(), coded.dictionary.to_pylist()
+        raw, bounds = np.frombuffer(b"".join(words), np.uint8), np.cumsum([0, *map(len, words)])
+        keys = word_hashes(raw, bounds[:-1], np.diff(bounds))
+        if len(self.words.ends) > WORDS:
             self.words = Words()
-        new = np.flatnonzero(self.words.find(keys) < 0)
+        place = self.words.find(keys, raw, bounds)
+        new = np.flatnonzero(place < 0)
         if len(new):
-            self.words.add(keys[new], self.encode_words([flat[a:b] for a, b in zip(starts[first[new]].tolist(), ends[first[new]].tolist(), strict=True)]))
-        store, place = self.words, self.words.find(keys)[which]
+            fresh = [words[i] for i in new.tolist()]
+            place[new] = self.words.add(keys[new], fresh, self.encode_words(fresh))
+        store, place = self.words, place[which]
         out = []
         for values, stops, wide in ((store.ids, store.ends, 4), (store.text, store.text_ends, 1)):
             lengths = stops[place + 1] - stops[place]

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import math
 from collections.abc import Iterator
 
@@ -57,28 +58,32 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def _table_of_bytes(cased: bool = False) -> np.ndarray:
-    values = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
-    for c in () if cased else range(ord("A"), ord("Z") + 1):
-        values[c] = values[c + 32]
-    return values
-
-
-_BYTE, _CASED = _table_of_bytes(), _table_of_bytes(cased=True)
+#: A number per byte, the same for both cases of A-Z.
+_BYTE = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
+_BYTE[ord("A"):ord("Z") + 1] = _BYTE[ord("a"):ord("z") + 1]
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
-_BASE = 0x9E3779B97F4A7C15 | 1
-_powers: dict[str, np.ndarray] = {"up": np.ones(1, np.uint64), "down": np.ones(1, np.uint64)}
-
-
-def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of the base modulo 2**64, and of its inverse."""
-    if len(_powers["up"]) < n:
-        for name, base in (("up", _BASE), ("down", pow(_BASE, -1, 1 << 64))):
-            steps = np.full(n, base, np.uint64)
-            steps[0] = 1
-            _powers[name] = np.cumprod(steps, dtype=np.uint64)
-    return _powers["up"][:n], _powers["down"][:n]
+#: Words of more bytes are hashed one by one.
+LONG_WORD = 256
+_MASKS = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[ord("A"):ord("Z") + 1] += 32
+
+
+def word_hashes(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray, seed: int = 0) -> np.ndarray:
+    """64-bit hashes of words in a byte array: eight bytes at a time, each time through a finalizer, so that no sum of letters makes two words alike. Other seeds give
+    independent hashes. Long words take a cryptographic hash."""
+    wide = np.ndarray((len(data) + 1,), "<u8", np.concatenate([data, np.zeros(8, np.uint8)]), strides=(1,))
+    hashes = mix((lengths.astype(np.uint64) + np.uint64(seed << 32)) * np.uint64(0x9E3779B97F4A7C15))
+    rows, at = np.flatnonzero(lengths <= LONG_WORD), 0
+    while len(rows):
+        left = lengths[rows] - at
+        hashes[rows] = mix((hashes[rows] ^ (wide[starts[rows] + at] & _MASKS[np.minimum(left, 8)])) * np.uint64(0xD6E8FEB86659FD93))
+        rows, at = rows[left > 8], at + 8
+    for i in np.flatnonzero(lengths > LONG_WORD).tolist():
+        digest = hashlib.blake2b(data[starts[i]:starts[i] + lengths[i]].tobytes(), digest_size=8, salt=seed.to_bytes(8, "little")).digest()
+        hashes[i] = int.from_bytes(digest, "little")
+    return hashes
 
 
 def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -119,14 +124,8 @@ def word_spans(data: np.ndarray, offsets: np.ndarray, cased: bool = False) -> tu
     if not len(data):
         none = np.empty(0, np.int64)
         return np.empty(0, np.uint64), none, none, np.zeros(len(offsets), np.int64)
-    ink, starts, ends, bounds = spans(data, offsets)
-    ends = ends - 1
-    up, down = powers(len(data))
-    sums = np.cumsum(np.where(ink, (_CASED if cased else _BYTE)[data], np.uint64(0)) * up, dtype=np.uint64)
-    ahead = np.where(starts > 0, sums[np.maximum(starts, 1) - 1], np.uint64(0))
-    value = (sums[ends] - ahead) * down[starts]
-    hashes = mix(value ^ ((ends - starts).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)))
-    return hashes, starts, ends + 1, bounds
+    _, starts, ends, bounds = spans(data, offsets)
+    return word_hashes(data if cased else _LOWER[data], starts, ends - starts), starts, ends, bounds
 
 
 def words(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
