@@ -92,9 +92,7 @@ def models(
     attempt("stacked_ensemble", lambda: valuation.StackedModel.fit(table, trees=min(trees, 400), forest=min(trees, 400)).results)
 
     def segment() -> dict:
-        search = segments.search_k(table, max_k, restarts=restarts)
-        best = next((r["k"] for r in search if r["is_best"]), 5)
-        return {"search": search, **segments.fit_kmeans(table, best, restarts=restarts)[2]}
+        return segments.fit_kmeans(table, None, restarts=restarts, max_k=max_k)[2]
 
     def forecasts() -> dict:
         monthly = series.price_series(table, group_by="borough_name")
