@@ -6,7 +6,13 @@ table belongs to one group. Here the rows are read twice, and almost nothing is
 1. histogram per (group, bucket), where the bucket is a monotone function of the value. Partial aggregation leaves at
    most 256 rows per octave and group, however many rows the group has;
 2. the histogram tells which bucket holds each wanted rank; only the rows of those buckets are counted by value
-   (partially first, so equal values cost nothing) and ranked.
+   (partially first, so equal values cost nothing) and ranked;
+3. a bucket with more than `FIXED` distinct values is cut anew into `STEPS` buckets between its own smallest and
+   largest value, and again the ones with wanted ranks are kept, until none is too large. A step narrows a bucket
+   a thousandfold, so half a dozen steps part any two doubles.
+
+Running totals and ranks go by ranges: rows are dealt into sorted ranges of like size, stored with the number of their
+range, and the ranges' totals are added up ahead of each.
 """
 
 from __future__ import annotations
@@ -21,6 +27,10 @@ from brickyard.session import written
 
 _PER_OCTAVE = 256
 _OFFSET = 300_000
+#: Distinct values of a bucket that one window may rank, and buckets that a larger one is cut into.
+FIXED, STEPS = 100_000, 1024
+#: Rows of wanted buckets that are broadcast; above, rows are counted by value before they meet them.
+SMALL = 200_000
 
 
 def value_bucket(value: Column) -> Column:
@@ -71,20 +81,25 @@ def exact_quantiles(df: DataFrame, keys: list[str], wanted: dict[str, tuple[str,
     def inside(low: Column, size: Column):
         return lambda r: (r["rank"] >= low) & (r["rank"] < low + size)
 
-    hits = (
+    hits = written(
         long.groupBy(*group, "__bucket").agg(F.count(F.lit(1)).alias("__size"))
         .withColumn("__before", F.coalesce(F.sum("__size").over(upto), F.lit(0)))
         .withColumn("__total", F.sum("__size").over(by_group))
         .withColumn("__hits", F.filter(probes, inside(F.col("__before"), F.col("__size"))))
         .where(F.size("__hits") > 0)
-        .select(*group, "__bucket", "__before", "__hits")
+        .select(*group, "__bucket", "__before", "__size", "__hits")
     )
-    # Without keys there are at most two hit buckets per probability: a proven bound. With keys the table is written, so
-    # that the planner knows its size and broadcasts it below its threshold, or shuffles by group and bucket above.
-    hits = written(hits) if keys else F.broadcast(hits)
-    counted = null_safe_join(long, hits, [*group, "__bucket"], "inner").groupBy(*group, "__bucket", "__value").agg(
-        F.count(F.lit(1)).alias("__n"), F.first("__before").alias("__before"), F.first("__hits").alias("__hits"))
-    in_bucket = Window.partitionBy(*group, "__bucket").orderBy("__value").rowsBetween(Window.unboundedPreceding, -1)
+    known = hits.agg(F.count(F.lit(1)).alias("rows"), F.max("__size").alias("most")).first()
+    place = [*group, "__bucket"]
+    if known["rows"] <= SMALL:
+        met = null_safe_join(long.withColumn("__n", F.lit(1).cast("long")), F.broadcast(hits), place, "inner")
+    else:
+        met = null_safe_join(long.groupBy(*place, "__value").agg(F.count(F.lit(1)).alias("__n")), hits, place, "inner")
+    counted = met.groupBy(*place, "__value").agg(
+        F.sum("__n").alias("__n"), F.first("__before").alias("__before"), F.first("__hits").alias("__hits"))
+    if (known["most"] or 0) > FIXED:
+        counted = _refined(counted, group, inside)
+    in_bucket = Window.partitionBy(*place).orderBy("__value").rowsBetween(Window.unboundedPreceding, -1)
     found = (
         counted.withColumn("__start", F.col("__before") + F.coalesce(F.sum("__n").over(in_bucket), F.lit(0)))
         .withColumn("__hit", F.explode(F.filter("__hits", inside(F.col("__start"), F.col("__n")))))
@@ -101,6 +116,30 @@ def exact_quantiles(df: DataFrame, keys: list[str], wanted: dict[str, tuple[str,
     return found.groupBy(*keys).agg(*outputs)
 
 
+def _refined(counted: DataFrame, group: list[str], inside) -> DataFrame:
+    """Counted values of wanted buckets, cut until no bucket has more than `FIXED` values; a bucket's name is the path of its cuts."""
+    place = [*group, "__bucket"]
+    counted = written(counted.withColumn("__bucket", F.col("__bucket").cast("string")))
+    while True:
+        spans = written(counted.groupBy(*place).agg(
+            F.count(F.lit(1)).alias("__values"), F.min("__value").alias("__low"), F.max("__value").alias("__high")).where(F.col("__values") > FIXED))
+        if not spans.limit(1).count():
+            return counted
+        share = (F.col("__value") / 2 - F.col("__low") / 2) / (F.col("__high") / 2 - F.col("__low") / 2)
+        cut = F.when(F.col("__values").isNull(), -1).otherwise(F.least(F.floor(share * STEPS), F.lit(STEPS - 1))).cast("int")
+        cells = null_safe_join(counted, F.broadcast(spans), place).withColumn("__cut", cut).drop("__values", "__low", "__high")
+        upto = Window.partitionBy(*place).orderBy("__cut").rowsBetween(Window.unboundedPreceding, -1)
+        sizes = cells.groupBy(*place, "__cut").agg(
+            F.sum("__n").alias("__size"), F.first("__before").alias("__from"), F.first("__hits").alias("__hits"))
+        kept = (
+            sizes.withColumn("__from", F.col("__from") + F.coalesce(F.sum("__size").over(upto), F.lit(0)))
+            .withColumn("__hits", F.filter("__hits", inside(F.col("__from"), F.col("__size")))).where(F.size("__hits") > 0).drop("__size")
+        )
+        inner = null_safe_join(cells.drop("__hits", "__before"), kept, [*place, "__cut"], "inner").withColumnRenamed("__from", "__before")
+        path = F.when(F.col("__cut") < 0, F.col("__bucket")).otherwise(F.concat_ws("/", "__bucket", "__cut"))
+        counted = written(inner.withColumn("__bucket", path).drop("__cut"))
+
+
 def aggregate_with_quantiles(
     df: DataFrame, keys: list[str], aggs: list[Column], wanted: dict[str, tuple[str, float]], exact: bool = True,
     values: DataFrame | None = None,
@@ -127,21 +166,27 @@ def quantile_row(df: DataFrame, wanted: dict[str, tuple[str, float]]) -> dict[st
     return row.asDict() if row else dict.fromkeys(wanted)
 
 
+def in_ranges(df: DataFrame, order: list[str]) -> DataFrame:
+    """The rows in sorted ranges, stored, with the range's number as `__part`.
+
+    Spark samples the bounds, so ranges have like sizes however the values lie; there are as many as shuffle partitions. The number is stored
+    with the rows because every reader must see the same one.
+    """
+    return written(df.repartitionByRange(*order).withColumn("__part", F.spark_partition_id()))
+
+
 def running_totals(df: DataFrame, order: str, totals: dict[str, str], keys: list[str] | None = None) -> DataFrame:
     """Add running sums in ascending `order`; `df` has one row per (keys, order).
 
-    Bucket offsets are summed over the small histogram, then each bucket is cumulated on its own, so the
-    global order never meets in one task.
+    Totals of ranges are summed ahead of each one, a row per range and key, and each range is cumulated on its own, so
+    neither the global order nor a large key meets in one task.
     """
     keys = keys or []
-    base = df.withColumn("__bucket", value_bucket(F.col(order).cast("double"))).withColumn("__g", F.lit(1))
-    group = [*keys, "__g"]
-    before = Window.partitionBy(*group).orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
-    sums = base.groupBy(*group, "__bucket").agg(*[F.sum(c).alias(f"__s_{out}") for out, c in totals.items()])
-    offsets = sums.select(*group, "__bucket", *[
-        F.coalesce(F.sum(f"__s_{out}").over(before), F.lit(0)).alias(f"__o_{out}") for out in totals
-    ])
-    inner = Window.partitionBy(*group, "__bucket").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
-    joined = null_safe_join(base, offsets, [*group, "__bucket"], "inner")
+    base = in_ranges(df, [*keys, order])
+    before = Window.partitionBy(*keys, F.lit(1)).orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    sums = base.groupBy(*keys, "__part").agg(*[F.sum(c).alias(f"__s_{out}") for out, c in totals.items()])
+    offsets = sums.select(*keys, "__part", *[F.coalesce(F.sum(f"__s_{out}").over(before), F.lit(0)).alias(f"__o_{out}") for out in totals])
+    inner = Window.partitionBy("__part", *keys).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
+    joined = null_safe_join(base, offsets, [*keys, "__part"], "inner")
     out = [(F.col(f"__o_{name}") + F.sum(c).over(inner)).alias(name) for name, c in totals.items()]
     return joined.select(*df.columns, *out)

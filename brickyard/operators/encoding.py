@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from brickyard import settings
-from brickyard.functions.quantiles import null_safe_join, quantile_row
+from brickyard.functions.quantiles import null_safe_join, quantile_row, running_totals
 from brickyard.functions.scalars import has
 
 C = F.col
@@ -33,17 +33,9 @@ def one_hot(df: DataFrame, column: str, categories: list | None = None, keep_sou
 
 
 def label_codes(df: DataFrame, column: str) -> DataFrame:
-    """Distinct non-NULL values with codes 0..k-1 in string order.
-
-    Values are ranked inside blocks of equal first characters and shifted by the sizes of the earlier blocks.
-    """
-    values = df.where(C(column).isNotNull()).select(C(column).cast("string").alias("value")).distinct()
-    blocked = values.withColumn("block", F.substring("value", 1, 2))
-    before = Window.partitionBy(F.lit(1)).orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = blocked.groupBy("block").agg(F.count(F.lit(1)).alias("size")).select(
-        "block", F.coalesce(F.sum("size").over(before), F.lit(0)).alias("shift"))
-    rank = F.row_number().over(Window.partitionBy("block").orderBy("value"))
-    return blocked.join(offsets, "block").select("value", (C("shift") + rank - 1).cast("double").alias("code"))
+    """Distinct non-NULL values with codes 0..k-1 in string order, ranked range by range."""
+    values = df.where(C(column).isNotNull()).select(C(column).cast("string").alias("value")).distinct().withColumn("one", F.lit(1))
+    return running_totals(values, "value", {"upto": "one"}).select("value", (C("upto") - 1).cast("double").alias("code"))
 
 
 def label_encode(df: DataFrame, column: str) -> DataFrame:
