@@ -64,13 +64,13 @@ VIOLATIONS = """violations AS (
          ts AS inspectiondate, CAST(user_id % 5 + 1 AS VARCHAR) AS boroid
   FROM events)"""
 
+MACRO_NAMES = ["fed_funds_rate", "cre_price_index", "treasury_10y", "cpi_urban", "unemployment_nyc"]
 MACRO = """observations AS (
   SELECT CAST(o_orderdate AS DATE) AS date,
-         CASE o_orderpriority WHEN '1-URGENT' THEN 'fed_funds_rate' ELSE 'cre_price_index' END AS series,
+         CASE o_orderpriority WHEN '1-URGENT' THEN 'fed_funds_rate' WHEN '2-HIGH' THEN 'cre_price_index' WHEN '3-MEDIUM' THEN 'treasury_10y'
+                              WHEN '4-NOT SPECIFIED' THEN 'cpi_urban' WHEN '5-LOW' THEN 'unemployment_nyc' END AS series,
          avg(o_totalprice) AS value
-  FROM orders
-  WHERE o_orderpriority = '1-URGENT' OR (o_orderpriority = '2-HIGH' AND month(o_orderdate) % 3 = 1)
-  GROUP BY 1, 2)"""
+  FROM orders GROUP BY 1, 2)"""
 
 DEEDS = """deeds AS (
   SELECT c_name AS buyer, s_name AS seller, CAST(l_partkey AS VARCHAR) AS bbl, n_name AS neighborhood,

@@ -8,7 +8,7 @@ from brickyard import settings
 from brickyard.operators import enrichment, marts, staging
 from brickyard.plans import layers
 from brickyard.plans.oracle_views import (
-    BOROUGH, MACRO, PERMITS, PLUTO, SALES, STAGED_PLUTO, STAGED_SALES, VIOLATIONS, haversine,
+    BOROUGH, MACRO, MACRO_NAMES, PERMITS, PLUTO, SALES, STAGED_PLUTO, STAGED_SALES, VIOLATIONS, haversine,
 )
 from brickyard.plans.registry import ctes, query
 from brickyard.session import written
@@ -85,16 +85,14 @@ def generic_extract(spark, sf_dir):
                             order, offset=100, limit=200)
 
 
-@query("src10_macro_table", ctes(MACRO, """
-daily AS (SELECT date, max(CASE WHEN series = 'fed_funds_rate' THEN value END) AS f,
-                 max(CASE WHEN series = 'cre_price_index' THEN value END) AS c FROM observations GROUP BY date),
-filled AS (SELECT date, last_value(f IGNORE NULLS) OVER w AS f, last_value(c IGNORE NULLS) OVER w AS c FROM daily
-           WINDOW w AS (ORDER BY date ROWS UNBOUNDED PRECEDING)),
-monthly AS (SELECT CAST(date_trunc('month', date) AS DATE) AS month, arg_max(f, date) AS f, arg_max(c, date) AS c
-            FROM filled GROUP BY 1)""") + """
-SELECT month, f AS fed_funds_rate, c AS cre_price_index FROM monthly""", floats="fed_funds_rate cre_price_index")
+@query("src10_macro_table", ctes(MACRO, f"""
+daily AS (SELECT date, {', '.join(f"max(CASE WHEN series = '{m}' THEN value END) AS {m}" for m in MACRO_NAMES)} FROM observations GROUP BY date),
+filled AS (SELECT date, {', '.join(f"last_value({m} IGNORE NULLS) OVER w AS {m}" for m in MACRO_NAMES)} FROM daily
+           WINDOW w AS (ORDER BY date ROWS UNBOUNDED PRECEDING))""") + f"""
+SELECT CAST(date_trunc('month', date) AS DATE) AS month, {', '.join(f"arg_max({m}, date) AS {m}" for m in MACRO_NAMES)}
+FROM filled GROUP BY 1""", floats=" ".join(MACRO_NAMES))
 def macro_table(spark, sf_dir):
-    return extracts.macro_table(adapters.macro_observations(spark, sf_dir), ["fed_funds_rate", "cre_price_index"])
+    return extracts.macro_table(adapters.macro_observations(spark, sf_dir), MACRO_NAMES)
 
 
 @query("src11_series_slice", ctes(MACRO) + """

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from brickyard.operators import distress, forecast, risk, series
-from brickyard.plans.oracle_views import HOLDINGS, MACRO, SALES, STAGED_SALES
+from brickyard.plans.oracle_views import HOLDINGS, MACRO, MACRO_NAMES, SALES, STAGED_SALES
 from brickyard.plans.queries_layers import staged_sales
 from brickyard.plans.queries_market import FEATURES, stored
 from brickyard.plans.registry import ctes, query
@@ -28,7 +28,7 @@ def monthly(spark, sf_dir):
 
 
 def macro(spark, sf_dir):
-    return extracts.macro_table(adapters.macro_observations(spark, sf_dir), ["fed_funds_rate", "cre_price_index"])
+    return extracts.macro_table(adapters.macro_observations(spark, sf_dir), MACRO_NAMES)
 
 
 # --- series ---------------------------------------------------------------
@@ -80,23 +80,21 @@ def momentum(spark, sf_dir):
     return series.momentum(monthly(spark, sf_dir), "price_per_sqft", KEY)
 
 
-@query("jn12_macro_alignment", ctes(*SERIES, MACRO, """
+@query("jn12_macro_alignment", ctes(*SERIES, MACRO, f"""
 months AS (SELECT CAST(date_trunc('month', date) AS DATE) AS month, series, arg_max(value, date) AS value FROM observations GROUP BY 1, 2),
-wide AS (SELECT month, max(CASE WHEN series = 'fed_funds_rate' THEN value END) AS f,
-                max(CASE WHEN series = 'cre_price_index' THEN value END) AS c FROM months GROUP BY 1),
-filled AS (SELECT month, last_value(f IGNORE NULLS) OVER w AS f, last_value(c IGNORE NULLS) OVER w AS c FROM wide
-           WINDOW w AS (ORDER BY month ROWS UNBOUNDED PRECEDING))""") + """
+wide AS (SELECT month, {', '.join(f"max(CASE WHEN series = '{m}' THEN value END) AS {m}" for m in MACRO_NAMES)} FROM months GROUP BY 1),
+filled AS (SELECT month, {', '.join(f"last_value({m} IGNORE NULLS) OVER w AS {m}" for m in MACRO_NAMES)} FROM wide
+           WINDOW w AS (ORDER BY month ROWS UNBOUNDED PRECEDING))""") + f"""
 SELECT borough_name, period, transaction_volume,
-  coalesce(last_value(f IGNORE NULLS) OVER past, first_value(f IGNORE NULLS) OVER next) AS fed_funds_rate,
-  coalesce(last_value(c IGNORE NULLS) OVER past, first_value(c IGNORE NULLS) OVER next) AS cre_price_index
+  {', '.join(f"coalesce(last_value({m} IGNORE NULLS) OVER past, first_value({m} IGNORE NULLS) OVER next) AS {m}" for m in MACRO_NAMES)}
 FROM monthly LEFT JOIN filled ON month = period
 WINDOW past AS (PARTITION BY borough_name ORDER BY period ROWS UNBOUNDED PRECEDING),
        next AS (PARTITION BY borough_name ORDER BY period ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)""",
-       floats="fed_funds_rate cre_price_index")
+       floats=" ".join(MACRO_NAMES))
 def macro_alignment(spark, sf_dir):
     """Macro as of each month: previous known value, else the next one (JN12, WN6)."""
     base = monthly(spark, sf_dir).select("borough_name", "period", "transaction_volume")
-    return series.align_macro(base, macro(spark, sf_dir), ["fed_funds_rate", "cre_price_index"], KEY)
+    return series.align_macro(base, macro(spark, sf_dir), MACRO_NAMES, KEY)
 
 
 @query("wn08_differences", ctes(*SERIES, """
@@ -133,19 +131,19 @@ def stationarity(spark, sf_dir):
 
 
 def with_macro(spark, sf_dir):
-    return series.align_macro(monthly(spark, sf_dir), macro(spark, sf_dir), ["fed_funds_rate", "cre_price_index"], KEY)
+    return series.align_macro(monthly(spark, sf_dir), macro(spark, sf_dir), MACRO_NAMES, KEY)
 
 
 @query("ts04_seasonal_arma")
 def seasonal_arma(spark, sf_dir):
     """Hold-out and 24-month forecasts per borough with macro regressors (TS4, TS5)."""
-    return forecast.seasonal_arma(with_macro(spark, sf_dir), "borough_name", "sale_price", ["fed_funds_rate", "cre_price_index"])
+    return forecast.seasonal_arma(with_macro(spark, sf_dir), "borough_name", "sale_price", MACRO_NAMES)
 
 
 @query("ts06_trend_model")
 def trend_model(spark, sf_dir):
     """Piecewise trend with yearly seasonality and macro regressors (TS6, TS7)."""
-    return forecast.trend_model(with_macro(spark, sf_dir), "borough_name", "sale_price", ["fed_funds_rate", "cre_price_index"])
+    return forecast.trend_model(with_macro(spark, sf_dir), "borough_name", "sale_price", MACRO_NAMES)
 
 
 # --- risk -----------------------------------------------------------------
@@ -205,28 +203,29 @@ def percentile_fan(spark, sf_dir):
 _T = "(CAST(month AS DOUBLE) / 12)"
 
 
-@query("rk03_value_projection", ctes(HOLDINGS, "steps AS (SELECT unnest(generate_series(0, 60, 12)) AS month)") + f"""
+@query("rk03_value_projection", ctes(HOLDINGS, "steps AS (SELECT unnest(generate_series(0, 60)) AS month)") + f"""
 SELECT *, {law_sql(f'((drift - vol * vol / 2) * {_T})', f'(vol * sqrt({_T}))')} FROM holdings, steps""",
        floats=LAW, digits=MONEY)
 def value_projection(spark, sf_dir):
-    """Yearly value law of every holding over five years (RK3)."""
-    return risk.project_values(adapters.holdings(spark, sf_dir), months=60, every=12)
+    """Monthly value law of every holding over five years (RK3)."""
+    return risk.project_values(adapters.holdings(spark, sf_dir))
 
 
 MACRO_PATH = {"rate_hike": True, "rate_impact": [-0.01, -0.02], "recession": True, "recession_impact": [-0.05, -0.03, 0.01], "vol_multiplier": 1.5}
 
 
 @query("rk04_macro_projection", ctes(HOLDINGS, """years AS (SELECT * FROM (VALUES
-  (1, CAST(-0.06 AS DOUBLE), CAST(2.25 AS DOUBLE)), (2, CAST(-0.11 AS DOUBLE), CAST(4.5 AS DOUBLE)),
-  (3, CAST(-0.10 AS DOUBLE), CAST(6.75 AS DOUBLE)), (4, CAST(-0.10 AS DOUBLE), CAST(7.75 AS DOUBLE)),
-  (5, CAST(-0.10 AS DOUBLE), CAST(8.75 AS DOUBLE))) AS t(y, shift, time)),
-rows_ AS (SELECT h.*, CAST(y * 12 AS INT) AS month, shift, time FROM holdings h, years
-          UNION ALL SELECT *, 0, CAST(0 AS DOUBLE), CAST(0 AS DOUBLE) FROM holdings)""") + f"""
+  (0, CAST(-0.06 AS DOUBLE), CAST(2.25 AS DOUBLE)), (1, CAST(-0.05 AS DOUBLE), CAST(2.25 AS DOUBLE)), (2, CAST(0.01 AS DOUBLE), CAST(2.25 AS DOUBLE)),
+  (3, CAST(0 AS DOUBLE), CAST(1 AS DOUBLE)), (4, CAST(0 AS DOUBLE), CAST(1 AS DOUBLE))) AS t(y, d, v)),
+path AS (SELECT CAST(m AS INT) AS month, sum(d / 12) OVER (ORDER BY m) AS shift, sum(v / 12) OVER (ORDER BY m) AS time
+         FROM (SELECT unnest(generate_series(1, 60)) AS m) AS s JOIN years ON y = (m - 1) // 12
+         UNION ALL SELECT 0, CAST(0 AS DOUBLE), CAST(0 AS DOUBLE)),
+rows_ AS (SELECT * FROM holdings, path)""") + f"""
 SELECT portfolio_id, holding_id, value, drift, vol, month,
        {law_sql('(drift * CAST(month AS DOUBLE) / 12 + shift - vol * vol / 2 * time)', '(vol * sqrt(time))')} FROM rows_""", floats=LAW, digits=MONEY)
 def macro_projection(spark, sf_dir):
     """The same under a rate rise and a recession (RK4)."""
-    return risk.project_values(adapters.holdings(spark, sf_dir), months=60, macro=MACRO_PATH, every=12)
+    return risk.project_values(adapters.holdings(spark, sf_dir), macro=MACRO_PATH)
 
 
 @query("rk05_scenario_grid", ctes(HOLDINGS, """scenarios AS (SELECT * FROM (VALUES

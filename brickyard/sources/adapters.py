@@ -167,13 +167,14 @@ def violations(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+#: The macro series that the order priorities stand for.
+MACRO = {"1-URGENT": "fed_funds_rate", "2-HIGH": "cre_price_index", "3-MEDIUM": "treasury_10y", "4-NOT SPECIFIED": "cpi_urban", "5-LOW": "unemployment_nyc"}
+
+
 def macro_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Long (date, series, value): daily mean order value of urgent orders, and of high orders in quarter months."""
-    orders = table(spark, sf_dir, "orders").where(
-        (C("o_orderpriority") == "1-URGENT")
-        | ((C("o_orderpriority") == "2-HIGH") & (F.month("o_orderdate") % 3 == 1)))
-    series = F.when(C("o_orderpriority") == "1-URGENT", "fed_funds_rate").otherwise("cre_price_index")
-    return orders.groupBy(C("o_orderdate").cast("date").alias("date"), series.alias("series")).agg(
+    """Long (date, series, value): daily mean order value of each priority."""
+    series = F.create_map(*[F.lit(x) for pair in MACRO.items() for x in pair])[C("o_orderpriority")]
+    return table(spark, sf_dir, "orders").groupBy(C("o_orderdate").cast("date").alias("date"), series.alias("series")).agg(
         F.avg("o_totalprice").alias("value"))
 
 
