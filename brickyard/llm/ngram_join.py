@@ -4,8 +4,8 @@ Sets of word shingles are put into bands of equal size. Two sets in a band (or a
 elements. The domain of shingles is hashed into k // (k2 + 1) + 1 parts; in one of them at least the sets differ by at most k2. Every part is hashed into n2
 smaller ones, and each choice of n2 - k2 of them is a signature: similar sets share one for certain.
 
-Below a similarity of 0.88 those choices hold two or three shingles, often none, and the sharper ones are many. There the first level signs whole parts, empty ones
-only for the few sets that could else share none, and the second has parts of a given mean size and a relative pigeonhole: in one part that isn't empty the sets are as similar as on the whole, so they share what is left of it without at most m * (100 - percent) // 100 of its m
+Below a similarity of 0.88 those choices hold two or three shingles, often none, and the sharper ones are many. There the first level signs whole parts of two
+shingles or more, sparser ones only for the few sets that could else share none, and the second has parts of a given mean size and a relative pigeonhole: in one part that isn't empty the sets are as similar as on the whole, so they share what is left of it without at most m * (100 - percent) // 100 of its m
 elements. Every such rest is a signature; none is empty.
 
 Equal sets are one class. Of a signature's classes, each is verified against the smallest only (first among those of a chunk of rows, then among the chunks'
@@ -31,12 +31,12 @@ from brickyard.session import written
 BAND = 1.7
 #: (k2, n2): differences allowed inside a part, and smaller parts in it; each level is complete by itself and sharper than the one before.
 LEVELS = ((1, 3), (2, 6))
-#: Below 0.88: most elements of a part on average for `wholes`, mean elements of a part for `rests`.
-LOOSE = (3.6, 4)
+#: Below 0.88: most elements of a part on average for `wholes` (at 3, sets of 0.8 can nearly always sign from two elements on), mean elements of a part for `rests`.
+LOOSE = (3.0, 4)
 
 Level = tuple[int, int] | int | float
 #: Classes of a signature whose cross pairs are listed; a larger one goes to the next level (the last level has no limit).
-LISTED = 128
+LISTED = 256
 #: Signatures that are grouped inside a task before the shuffle.
 CHUNK = 300_000
 #: Words of 64 bits of the short parity sketch that the self-join of a signature's classes compares.
@@ -120,7 +120,9 @@ def rests(values: np.ndarray, offsets: np.ndarray, percent: int, mean: int) -> t
 
 def wholes(values: np.ndarray, offsets: np.ndarray, percent: int, most: float) -> tuple[np.ndarray, np.ndarray]:
     """Signatures that are whole parts, with at most `most` elements to a part on average. Similar sets differ in at most m * (100 - percent) // percent elements,
-    where m is the size of either. A set that fills more parts than that shares a filled part with every similar one; only another one signs its empty parts too."""
+    where m is the size of either, and an element spoils one part. A set with more parts of two elements than that shares one of them with every similar set and
+    signs only these; else one with more filled parts signs those, and only another one its empty parts too. Of two similar sets that sign from one and from two
+    elements on, both sign the part of two that they share."""
     size = np.diff(offsets)
     low = bands(int(size.max(initial=1)) * 2)
     own = np.searchsorted(low, size, side="right") - 1
@@ -141,11 +143,10 @@ def wholes(values: np.ndarray, offsets: np.ndarray, percent: int, most: float) -
         place = base[row] + ((u >> np.uint64(40)) * parts[row].astype(np.uint64) >> np.uint64(24)).astype(np.int64)
         sums = np.zeros(int(base[-1]), np.uint64)
         np.add.at(sums, place, mix(u ^ np.uint64(0x589965CC75374CC3)))
-        full = np.zeros(len(sums), bool)
-        full[place] = True
-        filled = np.add.reduceat(full.astype(np.int64), base[:-1])
-        mine = np.repeat(np.arange(len(rows)), parts)
-        told = np.flatnonzero(full | (filled <= lengths * (100 - percent) // percent)[mine])
+        held = np.bincount(place, minlength=len(sums))
+        mine, spoilt = np.repeat(np.arange(len(rows)), parts), lengths * (100 - percent) // percent
+        least = sum((np.add.reduceat((held >= j).astype(np.int64), base[:-1]) > spoilt).astype(np.int64) for j in (1, 2))
+        told = np.flatnonzero(held >= least[mine])
         salt = (band[rows][mine] * 1_000_003 + np.arange(len(sums)) - base[mine]).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
         out.append(mix(sums ^ salt)[told].view(np.int64))
         who.append(rows[mine[told]])
