@@ -8,7 +8,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
 
 from brickyard.session import written
@@ -145,6 +145,38 @@ def row_of(offsets: np.ndarray) -> np.ndarray:
     return np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))
 
 
+def first_by_hash(rows: DataFrame, size: int) -> list[Row]:
+    """Per `stratum` the rows with the `size` smallest distinct hashes `h`, in order: one row per hash, however often it comes.
+
+    A bound for the hash is taken from the stratum's count, and widened while it lets too few hashes through, so hashes near the bound are all that is sent; the other
+    columns are read for the chosen rows only. No group is ranked in a task. Strata are few, and the driver holds some `size` rows of each.
+    """
+    counts = {r["stratum"]: r["n"] for r in rows.groupBy("stratum").agg(F.count("*").alias("n")).collect()}
+    low, high = -(1 << 63), (1 << 63) - 1
+    found: dict[object, list[int]] = {}
+    share = {s: 4.0 * size / n for s, n in counts.items()}
+    spark = rows.sparkSession
+    kind = rows.schema["stratum"].dataType.simpleString()
+
+    def below(limits: dict[object, int]) -> DataFrame:
+        bound = spark.createDataFrame(list(limits.items()), f"stratum {kind}, __limit long")
+        return rows.join(F.broadcast(bound), "stratum").where("h <= __limit").drop("__limit")
+
+    while share:
+        limits = {s: high if x >= 1 else low + int(x * 2.0**64) for s, x in share.items()}
+        got: dict[object, list[int]] = {}
+        for r in below(limits).select("stratum", "h").distinct().collect():
+            got.setdefault(r["stratum"], []).append(r["h"])
+        for s, x in list(share.items()):
+            if len(got.get(s, [])) >= size or x >= 1:
+                found[s] = sorted(got.get(s, []))[:size]
+                del share[s]
+            else:
+                share[s] = 4 * x
+    last = {s: hashes[-1] for s, hashes in found.items() if hashes}
+    return sorted(below(last).dropDuplicates(["stratum", "h"]).collect(), key=lambda r: (r["stratum"], r["h"])) if last else []
+
+
 def components(links: DataFrame, left: str = "a", right: str = "b") -> DataFrame:
     """(id, component_id) of every id in `links`: the smallest id that it reaches.
 

@@ -6,16 +6,17 @@ one table of embeddings. Their mean goes through a linear softmax. A temperature
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from brickyard.llm.common import _SPACE, mix, row_of, steps, text_bytes, word_spans
+from brickyard.llm.common import _SPACE, first_by_hash, row_of, steps, text_bytes, word_spans
 
 #: The fit and the calibration together read at most this many labelled rows per language, the calibration every fourth; rows with longer texts are left to prediction.
 SAMPLE_ROWS, SAMPLE_CHARS = 400, 50_000
@@ -161,12 +162,13 @@ def held_out(doc_id: str = "doc_id") -> F.Column:
 
 
 def fit(docs: DataFrame, seed: int = 3) -> Model:
-    """A model from documents with text and language outside the held-out third; the bounded sample is the first rows of each language by a seeded hash."""
+    """A model from documents with text and language outside the held-out third; the bounded sample is the first rows of each language by a seeded hash, rows equal in id and text once."""
     usable = docs.where(~held_out() & F.col("text").isNotNull() & F.col("lang").isNotNull() & (F.length("text") <= SAMPLE_CHARS))
-    narrow = usable.select(F.xxhash64(F.lit(seed), "doc_id", "text").alias("h"), F.col("lang").cast("string").alias("lang"), "text")
-    first = Window.partitionBy("lang").orderBy("h", "text")
-    rows = sorted(narrow.withColumn("place", F.row_number().over(first)).where(F.col("place") <= SAMPLE_ROWS).drop("h").collect(),
-                  key=lambda r: (r["place"], r["lang"]))
+    chosen = first_by_hash(usable.select(F.col("lang").cast("string").alias("stratum"), F.xxhash64(F.lit(seed), "doc_id", "text").alias("h"), "text"), SAMPLE_ROWS)
+    rows = []
+    for _, same in itertools.groupby(chosen, key=lambda r: r["stratum"]):
+        rows += [{"place": i, "lang": r["stratum"], "text": r["text"]} for i, r in enumerate(same, 1)]
+    rows.sort(key=lambda r: (r["place"], r["lang"]))
     learn, check = [r for r in rows if r["place"] % 4], [r for r in rows if r["place"] % 4 == 0]
     if not learn:
         return Model([], np.zeros((BUCKETS, 0), np.float32), np.zeros(0))
