@@ -7,8 +7,8 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-#: Spark's setting that removes a query's shuffle files when the query has ended.
-REMOVE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+#: Settings while an intermediate table is written: its shuffle files go when the write has ended, and Python workers get texts in batches of a few megabytes.
+WRITING = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true", "spark.sql.execution.arrow.maxRecordsPerBatch": "2000"}
 
 
 def build_session(name: str = "brickyard", cores: str | int = "*", **conf) -> SparkSession:
@@ -54,10 +54,12 @@ def written(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{checkpoint_folder(spark)}/brickyard/{uuid.uuid4().hex}"
-    before = spark.conf.get(REMOVE_SHUFFLES)
-    spark.conf.set(REMOVE_SHUFFLES, "true")
+    before = {name: spark.conf.get(name) for name in WRITING}
+    for name, value in WRITING.items():
+        spark.conf.set(name, value)
     try:
         (df.select(*columns) if columns else df).write.parquet(path)
     finally:
-        spark.conf.set(REMOVE_SHUFFLES, before)
+        for name, value in before.items():
+            spark.conf.set(name, value)
     return spark.read.parquet(path)

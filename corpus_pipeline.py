@@ -6,6 +6,7 @@ Every stage takes (spark, docs, sf_dir) and works on all that its predecessor ke
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from brickyard.llm import bpe, exact_dedup, language_id, mixing, ngram_join
 from brickyard.llm.common import table
@@ -14,9 +15,10 @@ from brickyard.session import written
 
 
 def languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language is recognised; those that the calibrated threshold rejects go."""
-    found = language_id.predict(docs.withColumnRenamed("score", "__score") if "score" in docs.columns else docs, language_id.fit(docs))
-    return found.where("accepted").select(*docs.columns)
+    """Documents whose language is recognised; those that the calibrated threshold rejects go. Columns named as the model's results keep their own values."""
+    own = {c: f"__own_{c}" for c in docs.columns}
+    found = language_id.predict(docs.withColumnsRenamed(own).withColumn("text", F.col("__own_text")), language_id.fit(docs))
+    return found.where("accepted").select(*[F.col(name).alias(c) for c, name in own.items()])
 
 
 def copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
