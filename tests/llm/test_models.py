@@ -203,3 +203,22 @@ def test_pipeline(spark, sf, docs):
         kept = spark.createDataFrame(found.collect(), docs.schema)
     want = bpe.encode_digests(kept, tokenizer_path()).collect()
     assert Counter(map(tuple, corpus_pipeline.run(spark, sf).collect())) == Counter(map(tuple, want))
+
+
+def test_pipeline_on_odd_and_empty_tables(spark, sf, odd, none):
+    """Extra columns keep their own values through all stages that return documents, those named as results too."""
+    named = odd.withColumn("lang_pred", F.lit("own")).withColumn("accepted", F.lit("own"))
+    kept = named
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        found = stage(spark, kept, sf)
+        assert found.columns == named.columns, name
+        rows = found.collect()
+        assert all((r["score"], r["size"], r["component_id"], r["lang_pred"], r["accepted"]) == ("x", "y", "z", "own", "own") for r in rows), name
+        assert {(r["doc_id"], r["text"]) for r in rows} <= {(r["doc_id"], r["text"]) for r in kept.collect()}, name
+        kept = spark.createDataFrame(rows, named.schema)
+    last = corpus_pipeline.STAGES[-1][1](spark, kept, sf)
+    assert last.count() == kept.count() > 0
+    empty = none
+    for _, stage in corpus_pipeline.STAGES:
+        empty = stage(spark, empty, sf)
+        assert empty.count() == 0
