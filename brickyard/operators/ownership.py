@@ -90,16 +90,21 @@ def largest_portfolios(edges: DataFrame, properties: DataFrame, top: int = 20) -
     ).orderBy(F.desc("portfolio_value"), "owner").limit(top)
 
 
-def key_players(edges: DataFrame, properties: DataFrame, top: int = 20) -> DataFrame:
-    """The owners of the largest portfolios with spread, first five neighbourhoods and degree centrality."""
+def key_players(edges: DataFrame, properties: DataFrame, top: int = 20, centrality: DataFrame | None = None) -> DataFrame:
+    """The owners of the largest portfolios with spread, first five neighbourhoods and degree centrality.
+
+    `centrality` (owner, betweenness) of the projection adds `betweenness_centrality`, 0 for owners that it lacks.
+    """
     nodes = graph_counts(edges).select("n_nodes").scalar()
     best = portfolios(edges, properties).orderBy(F.desc("portfolio_value"), "owner").limit(top)
     named = memberships(edges, properties).join(best.select("owner"), "owner", "left_semi")
     first = Window.partitionBy("owner").orderBy("neighborhood")
     names = (named.withColumn("r", F.row_number().over(first)).where("r <= 5").groupBy("owner")
              .agg(F.array_sort(F.collect_list("neighborhood")).alias("neighborhoods")))
-    return best.join(names, "owner").withColumn("degree_centrality", C("n_properties") / (nodes - 1)).orderBy(
-        F.desc("portfolio_value"), "owner")
+    out = best.join(names, "owner").withColumn("degree_centrality", C("n_properties") / (nodes - 1))
+    if centrality is not None:
+        out = out.join(centrality.select("owner", C("betweenness").alias("betweenness_centrality")), "owner", "left").fillna(0.0, ["betweenness_centrality"])
+    return out.orderBy(F.desc("portfolio_value"), "owner")
 
 
 # --- owner-owner projection -------------------------------------------------
