@@ -1,9 +1,10 @@
 """Personal data: base patterns, and a character-level bidirectional LSTM with CRF transitions that adds spans in other spellings.
 
-The network is trained in numpy from labelled spans: what the base patterns find in a bounded sample of documents, as it stands and respelt (brackets around dots
-and at signs, other separators, no country code). It reads every stretch of a text near a digit, an at sign or a bracketed "at", without which none of the four kinds can
-be written. A stretch is covered by overlapping windows; their emissions are blended with weights that fall towards a window's edges, and one Viterbi pass over
-the whole stretch reconciles them, so a span may cross windows. Added spans must hold by the arithmetic of their kind and touch no base span.
+The network is trained in numpy from labelled spans: what the base patterns find in a bounded sample of distinct texts, as it stands and respelt (brackets around dots
+and at signs, the words "at" and "dot", other separators, no country code). It reads every stretch of a text near a digit, an at sign, a bracketed "at", or an "at" between spaces
+whose next word goes on with a dot or with "dot"; other spellings of the four kinds (numbers in words, say) are not looked at. A stretch is covered by overlapping
+windows; their emissions are blended with weights that fall towards a window's edges, and one Viterbi pass over the whole stretch reconciles them, so a span may cross
+windows. Added spans must hold by the arithmetic of their kind and touch no base span.
 """
 
 from __future__ import annotations
@@ -19,6 +20,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from brickyard.llm.common import first_by_hash
+
 KINDS = ("email", "ip", "card", "phone")
 #: The base patterns. A look-behind only spares starts that can't match; it changes no result.
 EMAIL_AT = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -30,12 +33,14 @@ LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz012345678
 NOT_DIGIT = re.compile(r"[^0-9]+")
 
 #: Where the network looks, and how far around.
-SEED = re.compile(r"[0-9@]|[(\[]\x20?at\x20?[)\]]", re.I)
+SEED = re.compile(r"[0-9@]|[(\[]\x20?at\x20?[)\]]|\x20at\x20(?=\S+(?:\x20dot\x20|\.)\S)", re.I)
 REACH = 48
 WIDTH, STRIDE = 96, 48
-#: The fit reads at most this many documents, none longer than this.
-SAMPLE_DOCS, SAMPLE_CHARS = 400, 20_000
-SYMBOLS, EMBED, HIDDEN, STEPS, BATCH, RATE = 130, 12, 20, 300, 48, 0.02
+#: The fit reads at most this many distinct texts of each kind, and as many that are near no kind; none longer than this.
+SAMPLE_DOCS, SAMPLE_CHARS = 100, 20_000
+#: Loose forms of the base patterns, by which the sample is dealt into kinds.
+LOOSE = {"email": "@[A-Za-z0-9-]+[.]", "ip": "[0-9][.][0-9]+[.][0-9]+[.][0-9]", "card": "[0-9]([ -]?[0-9]){12}", "phone": "[+][0-9][ ().0-9-]{7}"}
+SYMBOLS, EMBED, HIDDEN, STEPS, BATCH, RATE = 130, 12, 20, 500, 48, 0.02
 TAGS = 1 + 2 * len(KINDS)
 
 Span = tuple[str, int, int]
@@ -90,7 +95,7 @@ def holds(kind: str, text: str) -> bool:
     """Whether a span in another spelling can be of its kind."""
     digits = NOT_DIGIT.sub("", text)
     if kind == "email":
-        plain = re.sub(r"\s*[(\[]\s*(at|dot)\s*[)\]]\s*", lambda m: "@" if m[1].lower() == "at" else ".", text, flags=re.I)
+        plain = re.sub(r"\s*[(\[]\s*(at|dot)\s*[)\]]\s*|\s(at|dot)\s", lambda m: "@" if (m[1] or m[2]).lower() == "at" else ".", text, flags=re.I)
         return EMAIL_AT.fullmatch(plain) is not None
     if kind == "ip":
         parts = re.findall("[0-9]+", text)
@@ -215,9 +220,9 @@ def gradient(tagger: Tagger, codes: np.ndarray, tags: np.ndarray) -> tuple[float
 def respelt(kind: str, text: str, random: np.random.Generator) -> str:
     """A labelled span in another spelling."""
     if kind == "email":
-        at = ["(at)", "[at]", " (at) ", " [at] "][random.integers(4)]
-        text = text.replace("@", at)
-        return text.replace(".", "[dot]") if random.random() < 0.3 else text
+        at = ["(at)", "[at]", " (at) ", " [at] ", " at "][random.integers(5)]
+        name, host = text.split("@", 1)
+        return name + at + (host.replace(".", " dot " if at == " at " else "[dot]") if random.random() < 0.3 else host)
     if kind == "ip":
         return text.replace(".", ["[.]", "(.)", " . "][random.integers(3)])
     if kind == "card":
@@ -363,11 +368,16 @@ def joined(spans: list[Span]) -> str:
 
 
 def fit(docs: DataFrame, seed: int = 13) -> Tagger | None:
-    """A tagger from the spans of a bounded sample: the first documents with a seed by a seeded hash."""
+    """A tagger from the spans of a bounded sample: per kind, and for texts near no kind, the first `SAMPLE_DOCS` distinct texts by a seeded hash.
+
+    Copies of a text count once. A kind's texts are found by a loose form of its pattern; the spans themselves come from the exact ones.
+    """
     text = F.col("text").cast("string")
     usable = docs.select(text.alias("text")).where(F.col("text").rlike("[0-9@]") & (F.length("text") <= SAMPLE_CHARS))
-    rows = usable.select("text", F.xxhash64(F.lit(seed), "text").alias("h")).orderBy("h", "text").limit(SAMPLE_DOCS).collect()
-    return train([r["text"] for r in rows])
+    near = F.array_compact(F.array(*[F.when(F.col("text").rlike(pattern), F.lit(kind)) for kind, pattern in LOOSE.items()]))
+    strata = F.explode(F.when(F.size(near) > 0, near).otherwise(F.array(F.lit("none")))).alias("stratum")
+    rows = first_by_hash(usable.select(strata, F.xxhash64(F.lit(seed), "text").alias("h"), "text"), SAMPLE_DOCS)
+    return train([t for _, t in sorted({(r["h"], r["text"]) for r in rows})])
 
 
 def find(docs: DataFrame, tagger: Tagger | None = None) -> DataFrame:

@@ -1,5 +1,6 @@
 """Trained operators, vectors and archives."""
 
+import itertools
 import math
 import re
 import zlib
@@ -57,11 +58,11 @@ def test_personal_data(spark, odd, none):
         base, spans = [tuple(s) for s in r["base"]], [tuple(s) for s in r["spans"]]
         assert base == base_by_patterns(r["text"] or "") and set(base) <= set(spans)
         kinds.update(s[0] for s in base)
-        assert not [s for s in spans if s not in base and not any(c.isdigit() or c == "@" for c in r["text"][s[1]:s[2]])]
+        assert not [s for s in spans if s not in base and not pii.holds(s[0], r["text"][s[1]:s[2]])]
     assert set(kinds) == set(pii.KINDS)
-    texts = ["call (602) 555-9039 now", "mail dikcoc.41(at)mail7.example.com ok", "ip 10[.]20[.]30[.]40 here", "nothing at all", None, "", "7" * 700, "password=da6a7d4f67f2203943 v3.1"]
+    texts = ["call (602) 555-9039 now", "mail dikcoc.41(at)mail7.example.com ok", "ip 10[.]20[.]30[.]40 here", "mail dikcoc41 at mail7.example.com ok", "nothing at all", None, "", "7" * 700, "password=da6a7d4f67f2203943 v3.1"]
     added = [{s[0] for s in spans} for _, spans in pii.find_all(tagger, texts)]
-    assert sum(a == {k} for a, k in zip(added, ("phone", "email", "ip"), strict=False)) >= 2 and added[3:] == [set()] * 5
+    assert sum(a == {k} for a, k in zip(added, ("phone", "email", "ip", "email"), strict=False)) >= 3 and added[4:] == [set()] * 5, added
     assert pii.find_digests(odd, tagger).count() == odd.count() and pii.find_digests(none).count() == 0
 
 
@@ -71,7 +72,35 @@ def test_held_out_tags(spark):
     tagger = pii.train(texts[::2])
     codes, tags = pii.examples(texts[1::2], np.random.default_rng(0))
     found = np.array(pii.tag(tagger, list(codes)))
-    assert (found == tags)[tags > 0].mean() > 0.85 and (found[tags == 0] > 0).mean() < 0.02
+    assert (found == tags)[tags > 0].mean() > 0.9 and (found[tags == 0] > 0).mean() < 0.02
+
+
+def test_many_copies_of_one_text_change_no_added_span(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    copies = spark.range(5000).select((F.col("id") + 10**6).alias("doc_id"), F.lit("only numbers 12 and 34 and no span").alias("text"))
+    a, b = pii.fit(docs), pii.fit(docs.unionByName(copies))
+    text = "call (602) 555-9039 or mail x.y(at)host.example.com, ip 10[.]20[.]30[.]40"
+    assert b is not None and pii.find_all(a, [text]) == pii.find_all(b, [text])
+
+
+def test_likelihood_and_best_tags_against_enumeration():
+    random = np.random.default_rng(3)
+    tagger = pii.new_tagger(2)
+    tagger.p["t"] = random.normal(0, 1, (pii.TAGS, pii.TAGS)).astype(np.float32)
+    codes = random.integers(0, pii.SYMBOLS, (3, 5))
+    z = pii.emissions(tagger, codes) * 3
+    paths = np.array(list(itertools.product(range(pii.TAGS), repeat=5)))
+    for row in range(3):
+        score = z[row][np.arange(5), paths].sum(axis=1) + tagger.p["t"][paths[:, :-1], paths[:, 1:]].sum(axis=1)
+        assert pii.viterbi(z[row:row + 1], np.array([5]), tagger.p["t"])[0].tolist() == paths[score.argmax()].tolist()
+    z = pii.emissions(tagger, codes)
+    tags = random.integers(0, pii.TAGS, (3, 5))
+    want = 0.0
+    for row in range(3):
+        score = (z[row][np.arange(5), paths].sum(axis=1) + tagger.p["t"][paths[:, :-1], paths[:, 1:]].sum(axis=1)).astype(float)
+        own = z[row][np.arange(5), tags[row]].sum() + tagger.p["t"][tags[row, :-1], tags[row, 1:]].sum()
+        want += (np.log(np.exp(score - score.max()).sum()) + score.max() - own) / 3
+    assert pii.gradient(tagger, codes, tags)[0] == pytest.approx(want, rel=1e-4)
 
 
 def test_gradient_of_the_tagger():
