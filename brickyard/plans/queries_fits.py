@@ -97,13 +97,18 @@ def segment_table(spark, sf_dir):
                   "commercial_ratio", "dist_to_cbd_km", "assesstot")
 
 
-@query("cl01_scaled_features", ctes(*SCORED_ALL, """
-c AS (SELECT sale_id, bbl, gross_square_feet AS g, building_age AS a FROM scored WHERE gross_square_feet IS NOT NULL AND building_age IS NOT NULL)""") + """
-SELECT sale_id, bbl, (g - avg(g) OVER ()) / stddev_pop(g) OVER () AS z_gross_square_feet,
-       (a - avg(a) OVER ()) / stddev_pop(a) OVER () AS z_building_age FROM c""", floats="z_gross_square_feet z_building_age")
+SEGMENT = ["price_per_sqft", "gross_square_feet", "building_age", "numfloors", "floor_area_ratio", "commercial_ratio", "dist_to_cbd_km", "assesstot"]
+SCALED = f"""c AS (SELECT sale_id, bbl, {', '.join(SEGMENT)} FROM (SELECT *, dist_to_grand_central_km AS dist_to_cbd_km FROM scored)
+     WHERE {' AND '.join(f'{c} IS NOT NULL' for c in SEGMENT)}),
+size AS (SELECT {', '.join(f'avg({c}) AS a_{c}, stddev_pop({c}) AS s_{c}' for c in SEGMENT)} FROM c),
+z AS (SELECT sale_id, bbl, {', '.join(f'({c} - a_{c}) / CASE WHEN s_{c} = 0 THEN 1 ELSE s_{c} END AS z_{c}' for c in SEGMENT)} FROM c, size)"""
+
+
+@query("cl01_scaled_features", ctes(*SCORED_ALL, SCALED) + "SELECT * FROM z", floats=" ".join(f"z_{c}" for c in SEGMENT))
 def scaled_features(spark, sf_dir):
-    rows, _, _ = segments.prepare(stored(spark, sf_dir, "sale_id", "bbl", "gross_square_feet", "building_age"))
-    return rows.select("sale_id", "bbl", "z_gross_square_feet", "z_building_age")
+    """Complete rows on the segments' standardised features (CL1)."""
+    rows, _, _ = segments.prepare(segment_table(spark, sf_dir))
+    return rows.select("sale_id", "bbl", *[f"z_{c}" for c in SEGMENT])
 
 
 @query("cl02_cluster_search")

@@ -132,45 +132,64 @@ def target_encode(spark, sf_dir):
         "sale_id", "bbl", "neighborhood", "neighborhood_target_encoded", "neighborhood_target_encoded_global")
 
 
-@query("ag21_missing_fractions", ctes(SALES, STAGED_SALES, PLUTO, STAGED_PLUTO) + """
-SELECT avg(CAST(numfloors IS NULL AS INT)) AS numfloors, avg(CAST(overlay IS NULL AS INT)) AS overlay1,
-       avg(CAST(price_per_sqft IS NULL AS INT)) AS price_per_sqft, avg(CAST(ownername IS NULL AS INT)) AS ownername,
-       avg(CAST(sale_price IS NULL AS INT)) AS sale_price
-FROM (SELECT *, NULL AS overlay FROM staged LEFT JOIN parcels USING (bbl))""",
-       floats="numfloors overlay1 price_per_sqft ownername sale_price")
+# sales beside their parcels, with every column that the merge gives
+MERGED = """merged AS (
+  SELECT s.* EXCLUDE (building_class_category, building_class_at_sale, tax_class_at_sale, l_tax), building_class_at_sale AS building_class_at_time_of_sale,
+         tax_class_at_sale AS tax_class_at_time_of_sale, p.* EXCLUDE (bbl, block, lot, address, borough_name), p.block AS block_pluto, p.lot AS lot_pluto,
+         p.address AS address_pluto, p.borough_name AS borough_name_pluto, CAST(NULL AS VARCHAR) AS overlay1, CAST(NULL AS INTEGER) AS yearalter2
+  FROM staged s LEFT JOIN parcels p USING (bbl))"""
+MERGE = (SALES, STAGED_SALES, PLUTO, STAGED_PLUTO, MERGED)
+_WHOLE = "sale_id borough total_units commercial_units year_built sale_year sale_month sale_quarter"
+_PRICES = "sale_price land_square_feet"
+_GAPS = ("gross_square_feet price_per_sqft borocode lotarea bldgarea comarea resarea officearea retailarea numfloors unitstotal unitsres yearbuilt yearalter1 "
+         "assesstot assessland latitude longitude")
+_NAMES = "bbl block lot neighborhood address zip_code building_class_at_time_of_sale tax_class_at_time_of_sale borough_name"
+_GAP_NAMES = "zipcode landuse bldgclass zonedist1 ownername block_pluto lot_pluto address_pluto borough_name_pluto"
+_EVERY = " ".join([_WHOLE, _PRICES, _GAPS, _NAMES, _GAP_NAMES, "sale_date overlay1 yearalter2"])
+
+
+def merged_sales(spark, sf_dir):
+    return merge_parcels(staged_sales(spark, sf_dir, False), staged_parcels(spark, sf_dir))
+
+
+def _mode(column: str) -> str:
+    return f"(SELECT {column} FROM merged WHERE {column} IS NOT NULL GROUP BY 1 ORDER BY count(*) DESC, 1 LIMIT 1)"
+
+
+@query("ag21_missing_fractions", ctes(*MERGE) + f"""
+SELECT {', '.join(f'avg(CAST({c} IS NULL AS INT)) AS {c}' for c in _EVERY.split())} FROM merged""", floats=_EVERY)
 def missing(spark, sf_dir):
-    merged = merge_parcels(staged_sales(spark, sf_dir, False), staged_parcels(spark, sf_dir))
-    return encoding.missing_fractions(merged.select("numfloors", "overlay1", "price_per_sqft", "ownername", "sale_price"))
+    """Share of gaps of every column of the merged table (AG21)."""
+    return encoding.missing_fractions(merged_sales(spark, sf_dir))
 
 
-@query("fe14_sparseness", ctes(SALES, STAGED_SALES, PLUTO, STAGED_PLUTO, """
-merged AS (SELECT sale_id, bbl, sale_price, price_per_sqft, numfloors, ownername, lotarea FROM staged LEFT JOIN parcels USING (bbl)),
-fills AS (SELECT median(price_per_sqft) AS ppsf, median(numfloors) AS floors, median(lotarea) AS lot,
-          (SELECT ownername FROM merged WHERE ownername IS NOT NULL GROUP BY 1 ORDER BY count(*) DESC, 1 LIMIT 1) AS owner FROM merged)""") + """
-SELECT sale_id, bbl, sale_price, coalesce(price_per_sqft, ppsf) AS price_per_sqft, coalesce(numfloors, floors) AS numfloors,
-       coalesce(ownername, owner) AS ownername, coalesce(lotarea, lot) AS lotarea FROM merged, fills""",
-       floats="sale_price price_per_sqft numfloors lotarea")
+@query("fe14_sparseness", ctes(*MERGE, f"""
+middle AS (SELECT {', '.join(f'median({c}) AS m_{c}' for c in _GAPS.split())}, {', '.join(f'{_mode(c)} AS m_{c}' for c in _GAP_NAMES.split())} FROM merged)""") + f"""
+SELECT {', '.join([_WHOLE, _PRICES, _NAMES, 'sale_date'][i].replace(' ', ', ') for i in range(4))},
+       {', '.join(f'coalesce(CAST({c} AS DOUBLE), m_{c}) AS {c}' for c in _GAPS.split())},
+       {', '.join(f'coalesce({c}, m_{c}) AS {c}' for c in _GAP_NAMES.split())} FROM merged, middle""", floats=f"{_PRICES} {_GAPS}")
 def sparseness(spark, sf_dir):
-    """Empty column dropped, medians and modes filled (FE14-16, AG22)."""
-    merged = merge_parcels(staged_sales(spark, sf_dir, False), staged_parcels(spark, sf_dir))
-    return encoding.handle_sparseness(
-        merged.select("sale_id", "bbl", "sale_price", "price_per_sqft", "numfloors", "ownername", "lotarea", "overlay1"))
+    """The merged table without its empty columns, medians and modes filled in (FE14-16, AG22)."""
+    return encoding.handle_sparseness(merged_sales(spark, sf_dir))
 
 
-@query("ag22_column_modes", ctes(SALES, STAGED_SALES) + """
-SELECT 'borough_name' AS "column", (SELECT borough_name FROM staged GROUP BY 1 ORDER BY count(*) DESC, 1 LIMIT 1) AS mode
-UNION ALL SELECT 'building_class_category', (SELECT building_class_category FROM staged GROUP BY 1 ORDER BY count(*) DESC, 1 LIMIT 1)""")
+@query("ag22_column_modes", ctes(*MERGE) + " UNION ALL ".join(
+    f"""SELECT '{c}' AS "column", {_mode(c)} AS mode""" for c in f"{_NAMES} {_GAP_NAMES}".split()))
 def modes(spark, sf_dir):
-    return encoding.column_modes(staged_sales(spark, sf_dir), ["borough_name", "building_class_category"])
+    """Commonest value of every text column with values (AG22)."""
+    return encoding.column_modes(merged_sales(spark, sf_dir), f"{_NAMES} {_GAP_NAMES}".split())
+
+
+_SCALED = f"{_WHOLE} {_PRICES} {_GAPS}".split()[1:]
 
 
-@query("fe17_standardise", ctes(SALES, STAGED_SALES) + """
-SELECT sale_id, bbl, (sale_price - avg(sale_price) OVER ()) / stddev_pop(sale_price) OVER () AS z_sale_price,
-       (land_square_feet - avg(land_square_feet) OVER ()) / stddev_pop(land_square_feet) OVER () AS z_land_square_feet
-FROM staged""", floats="z_sale_price z_land_square_feet")
+@query("fe17_standardise", ctes(*MERGE, f"""
+size AS (SELECT {', '.join(f'avg({c}) AS a_{c}, stddev_pop({c}) AS s_{c}' for c in _SCALED)} FROM merged)""") + f"""
+SELECT sale_id, bbl, {', '.join(f'({c} - a_{c}) / CASE WHEN s_{c} = 0 THEN 1 ELSE s_{c} END AS z_{c}' for c in _SCALED)} FROM merged, size""",
+       floats=" ".join(f"z_{c}" for c in _SCALED))
 def standardise(spark, sf_dir):
-    return encoding.standardise(staged_sales(spark, sf_dir, False), ["sale_price", "land_square_feet"]).select(
-        "sale_id", "bbl", "z_sale_price", "z_land_square_feet")
+    """Every numeric column but the row's number, standardised (FE17)."""
+    return encoding.standardise(merged_sales(spark, sf_dir), _SCALED).select("sale_id", "bbl", *[f"z_{c}" for c in _SCALED])
 
 
 @query("fe18_principal_components", ctes(SALES, STAGED_SALES, """

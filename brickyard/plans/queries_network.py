@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from brickyard.operators import communities, ownership
+from brickyard.operators import centrality, communities, ownership
 from brickyard.operators.enrichment import merge_parcels
 from brickyard.plans.oracle_views import DEEDS, PLUTO, SALES, STAGED_PLUTO, STAGED_SALES
 from brickyard.plans.queries_layers import staged_parcels, staged_sales
@@ -65,6 +65,32 @@ def key_players(spark, sf_dir):
     return ownership.key_players(*stored_graph(spark, sf_dir)).withColumn("neighborhoods", F.concat_ws("|", "neighborhoods"))
 
 
+# buyers of all transfers as owners: many owners with many neighbourhoods each
+BUYERS = """members AS (SELECT DISTINCT upper(trim(buyer)) AS owner, neighborhood FROM deeds),
+pairs AS (SELECT a.owner AS owner_a, b.owner AS owner_b, count(*) AS weight, list_sort(list(a.neighborhood)) AS shared
+          FROM members a JOIN members b ON a.neighborhood = b.neighborhood AND a.owner <> b.owner GROUP BY 1, 2)"""
+
+
+@query("gr05_betweenness", ctes(DEEDS, BUYERS, """
+sets AS (SELECT owner, list_sort(list(neighborhood)) AS hoods FROM members GROUP BY 1),
+nodes AS (SELECT row_number() OVER (ORDER BY hoods) AS node, hoods, count(*) AS owners FROM sets GROUP BY hoods),
+near AS (SELECT a.node AS a, b.node AS b, b.owners FROM nodes a JOIN nodes b ON a.node <> b.node AND list_has_any(a.hoods, b.hoods)),
+far AS (SELECT a.node AS s, b.node AS v, b.owners FROM nodes a JOIN nodes b ON a.node <> b.node AND NOT list_has_any(a.hoods, b.hoods)),
+second AS (SELECT far.s, far.v, any_value(far.owners) AS owners, sum(one.owners) AS paths
+           FROM far JOIN near AS one ON one.a = far.s JOIN near AS two ON two.a = one.b AND two.b = far.v GROUP BY 1, 2),
+lost AS (SELECT count(*) AS n FROM (SELECT s, v FROM far EXCEPT SELECT s, v FROM second)),
+shares AS (SELECT one.b AS node, sum(st.owners * second.owners / paths) AS share
+           FROM second JOIN nodes st ON st.node = second.s JOIN near AS one ON one.a = second.s JOIN near AS two ON two.a = one.b AND two.b = second.v GROUP BY 1),
+size AS (SELECT CAST(count(*) AS DOUBLE) AS n FROM sets)""") + """
+SELECT owner, coalesce(share, 0) / ((n - 1) * (n - 2)) AS betweenness FROM sets JOIN nodes USING (hoods) LEFT JOIN shares USING (node), size, lost
+WHERE lost.n = 0""", floats="betweenness", digits=9)
+def betweenness(spark, sf_dir):
+    """Betweenness of all buyers in the projection (GR5). The SQL twin counts paths over one owner between, which are all there are when no two buyers are farther apart; else it has no rows."""
+    deeds = stored_deeds(spark, sf_dir, "buyer", "neighborhood")
+    members = deeds.select(F.upper(F.trim("buyer")).alias("owner"), "neighborhood").distinct()
+    return centrality.betweenness(members)
+
+
 @query("gr08_largest_portfolios", ctes(*OWNERS) + """
 SELECT owner, count(*) AS n_properties, sum(assesstot) AS portfolio_value FROM edges JOIN props USING (bbl) GROUP BY 1
 ORDER BY 3 DESC, 1 LIMIT 20""", floats="portfolio_value", digits=1)
@@ -72,11 +98,6 @@ def largest_portfolios(spark, sf_dir):
     return ownership.largest_portfolios(*graph(spark, sf_dir))
 
 
-# buyers of all transfers as owners: many owners with many neighbourhoods each
-BUYERS = """members AS (SELECT DISTINCT upper(trim(buyer)) AS owner, neighborhood FROM deeds),
-pairs AS (SELECT a.owner AS owner_a, b.owner AS owner_b, count(*) AS weight, list_sort(list(a.neighborhood)) AS shared
-          FROM members a JOIN members b ON a.neighborhood = b.neighborhood AND a.owner <> b.owner GROUP BY 1, 2)"""
-
 
 def buyer_memberships(spark, sf_dir):
     deeds = stored_deeds(spark, sf_dir, "buyer", "bbl", "neighborhood")
