@@ -82,7 +82,7 @@ lost AS (SELECT count(*) AS n FROM (SELECT s, v FROM far EXCEPT SELECT s, v FROM
 shares AS (SELECT one.b AS node, sum(st.owners * second.owners / paths) AS share
            FROM second JOIN nodes st ON st.node = second.s JOIN near AS one ON one.a = second.s JOIN near AS two ON two.a = one.b AND two.b = second.v GROUP BY 1),
 size AS (SELECT CAST(count(*) AS DOUBLE) AS n FROM sets)""") + """
-SELECT owner, coalesce(share, 0) / ((n - 1) * (n - 2)) AS betweenness FROM sets JOIN nodes USING (hoods) LEFT JOIN shares USING (node), size, lost
+SELECT owner, coalesce(share, 0) / ((size.n - 1) * (size.n - 2)) AS betweenness FROM sets JOIN nodes USING (hoods) LEFT JOIN shares USING (node), size, lost
 WHERE lost.n = 0""", floats="betweenness", digits=9)
 def betweenness(spark, sf_dir):
     """Betweenness of all buyers in the projection (GR5). The SQL twin counts paths over one owner between, which are all there are when no two buyers are farther apart; else it has no rows."""
