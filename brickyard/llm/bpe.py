@@ -28,7 +28,7 @@ WINDOW = 16
 #: Bytes of text that are encoded together.
 TOGETHER = 1 << 20
 #: Entries of a worker's two stores. A full store starts anew: what it held is encoded again; results don't depend on it.
-CHUNKS, WORDS = 8_000, 700_000
+CHUNKS, WORDS = 4_000, 300_000
 SPACE = re.compile(rb"[\x20\x09-\x0D]")
 #: Words for which Python's normalisation is surely the tokenizer's: ASCII and composed Latin letters.
 PLAIN = re.compile("[!-~\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u017e]+")
