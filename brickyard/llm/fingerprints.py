@@ -2,8 +2,8 @@
 
 A k-mer is K words in a row; it is an anchor if the least hash among its runs of S words lies at its first or last one. Whether a k-mer is an anchor depends on
 its own words only, never on its neighbours, so a passage keeps its anchors wherever it stands and whatever is edited around it, and no gap between anchors is
-longer than K - S words. A fingerprint is the SKETCH anchors with the smallest hashes and where they first stand; two fingerprints are matched by equal anchors
-that agree on how far one text is shifted against the other.
+longer than K - S words. A fingerprint is all the text's anchors and where they first stand, or on demand those with the smallest hashes only; two fingerprints are
+matched by equal anchors that agree on how far one text is shifted against the other.
 """
 
 from __future__ import annotations
@@ -18,17 +18,18 @@ from brickyard.session import written
 
 #: Words of a k-mer and of the runs inside it.
 K, S = 5, 2
-#: Anchors that a fingerprint keeps.
+#: Anchors that a short fingerprint keeps; None stands for all of them.
 SKETCH = 64
 #: Words by which the shifts of matching anchors may differ: what insertions and deletions between them move.
 SLACK = 64
-#: Hash bits of an anchor; its place takes the lower 32 of a long.
+#: Hash bits of an anchor; its place, less than 2^31, takes the lower 32 of a long.
 HASH_BITS = 31
+SECOND = 1 << 31
 KEY = ["none", "id", "digest"]
 
 
-def with_sketch(df: DataFrame, text: str, name: str, k: int = K, s: int = S, sketch: int = SKETCH) -> DataFrame:
-    """`name`: the text's anchors with the `sketch` smallest hashes, rising, as longs of hash and first place (a word number).
+def with_sketch(df: DataFrame, text: str, name: str, k: int = K, s: int = S, sketch: int | None = SKETCH) -> DataFrame:
+    """`name`: the text's anchors, or those with the `sketch` smallest hashes, rising, as longs of hash and first place (a word number).
 
     A text with words, but fewer than `k`, has one anchor, all its words; one without words has none. Each step is a column of its own, which later steps use
     more than once, so that Spark computes it once a row.
@@ -44,7 +45,7 @@ def with_sketch(df: DataFrame, text: str, name: str, k: int = K, s: int = S, ske
     short = F.when(F.col("__n") == 0, F.array().cast("array<bigint>")).otherwise(F.array(place(F.xxhash64("__w"), F.lit(0))))
     df = df.withColumn("__a", F.sort_array(F.when(F.col("__n") >= k, packed).otherwise(short)))
     first = F.filter("__a", lambda x, i: (i == 0) | (hash_of(x) != hash_of(F.get("__a", i - 1))))
-    return df.withColumn(name, F.slice(first, 1, sketch)).drop("__w", "__n", "__g", "__a")
+    return df.withColumn(name, F.slice(first, 1, sketch) if sketch else first).drop("__w", "__n", "__g", "__a")
 
 
 def place(hashed: Column, at: Column) -> Column:
@@ -64,24 +65,37 @@ def as_text(sketch: str) -> Column:
     return F.array_join(F.transform(sketch, lambda x: F.concat(F.lpad(F.lower(F.hex(hash_of(x))), 8, "0"), F.lit(":"), place_of(x))), ",")
 
 
-def with_likeness(df: DataFrame, a: str, b: str, name: str, sketch: int = SKETCH, slack: int = SLACK) -> DataFrame:
+def with_likeness(df: DataFrame, a: str, b: str, name: str, sketch: int | None = SKETCH, slack: int = SLACK) -> DataFrame:
     """`name`: the share of both texts' anchors that match, 0 to 1; 1 for equal fingerprints, two empty ones included.
 
-    Of the smallest hashes in either fingerprint (all, if both fingerprints hold all their texts' anchors) those count that are in both and whose shift of place
-    lies within `slack` of the shift that most of them have. With j the share of these, 2j / (1 + j) is the part of the two anchor sets that they make up.
+    Of the hashes in either fingerprint (of the `sketch` smallest, unless both fingerprints hold all their texts' anchors) those count that are in both and whose
+    shift of place lies within `slack` of the shift that most of them have. With j the share of these, 2j / (1 + j) is the part of the two anchor sets that they
+    make up. Anchors meet by sorting, so the cost of two fingerprints hardly grows faster than their length.
     """
-    whole = (F.size(a) < sketch) & (F.size(b) < sketch)
-    df = df.withColumn("__ha", F.transform(a, hash_of)).withColumn("__hb", F.transform(b, hash_of))
-    df = df.withColumn("__u", F.slice(F.sort_array(F.array_union("__ha", "__hb")), 1, F.when(whole, 2 * sketch).otherwise(sketch)))
-    df = df.withColumn("__s", F.array_intersect(F.array_intersect("__ha", "__hb"), "__u"))
-    theirs, ours = F.map_from_arrays("__hb", F.transform(b, place_of)), F.map_from_arrays("__ha", F.transform(a, place_of))
-    some = F.size("__s") > 0
-    df = df.withColumn("__pa", F.when(some, ours)).withColumn("__pb", F.when(some, theirs))
-    df = df.withColumn("__t", F.when(some, F.transform("__s", lambda h: F.element_at("__pa", h) - F.element_at("__pb", h))))
-    agreeing = F.array_max(F.transform("__t", lambda t: F.size(F.filter("__t", lambda o: F.abs(o - t) <= slack))))
-    df = df.withColumn("__m", F.when(~some, 0).when(F.array_max("__t") - F.array_min("__t") <= slack, F.size("__s")).otherwise(agreeing))
-    like = 2.0 * F.col("__m") / (F.size("__u") + F.col("__m"))
-    return df.withColumn(name, F.when(F.col(a) == F.col(b), 1.0).otherwise(like)).drop("__ha", "__hb", "__u", "__s", "__pa", "__pb", "__t", "__m")
+    df = df.withColumn("__z", F.sort_array(F.concat(a, F.transform(b, lambda x: x.bitwiseOR(SECOND)))))
+    if sketch:
+        some = F.slice(F.sort_array(F.array_union(F.transform(a, hash_of), F.transform(b, hash_of))), 1, sketch)
+        df = df.withColumn("__last", F.when((F.size(a) >= sketch) | (F.size(b) >= sketch), F.array_max(some)).otherwise(1 << HASH_BITS))
+        df = df.withColumn("__z", F.filter("__z", lambda x: hash_of(x) <= F.col("__last"))).drop("__last")
+    met = F.zip_with("__z", F.slice("__z", 2, F.size("__z")), lambda x, y: F.when(hash_of(x) == hash_of(y), place_of(x) - place_of(y.bitwiseXOR(SECOND))))
+    df = df.withColumn("__t", F.sort_array(F.array_compact(met)))
+    n = F.size("__t")
+    df = df.withColumn("__m", F.when(n == 0, 0).when(F.get("__t", n - 1) - F.get("__t", F.lit(0)) <= slack, n).otherwise(agreeing("__t", slack)))
+    like = 2.0 * F.col("__m") / (F.size("__z") - n + F.col("__m"))
+    return df.withColumn(name, F.when(F.col(a) == F.col(b), 1.0).otherwise(like)).drop("__z", "__t", "__m")
+
+
+def agreeing(shifts: str, slack: int) -> Column:
+    """Most shifts that lie within `slack` of one of them; `shifts` rise.
+
+    Each shift asks, in one sort with all shifts, how many are at most `slack` greater (odd numbers, which come after equal shifts), and in another how many are
+    more than `slack` smaller (even ones, which come before). The k-th question stands k places too far in both, which the difference drops.
+    """
+    upper = F.sort_array(F.concat(F.transform(shifts, lambda t: 2 * t), F.transform(shifts, lambda t: 2 * (t + slack) + 1)))
+    lower = F.sort_array(F.concat(F.transform(shifts, lambda t: 2 * t + 1), F.transform(shifts, lambda t: 2 * (t - slack))))
+    last = F.array_compact(F.transform(upper, lambda t, i: F.when(t.bitwiseAND(1) == 1, i)))
+    first = F.array_compact(F.transform(lower, lambda t, i: F.when(t.bitwiseAND(1) == 0, i)))
+    return F.array_max(F.zip_with(last, first, lambda u, v: u - v))
 
 
 def successors(keys: DataFrame) -> DataFrame:
@@ -100,31 +114,35 @@ def successors(keys: DataFrame) -> DataFrame:
     return follow.select(*keys.columns, *[F.col(f"next.{c}").alias(f"next_{c}") for c in KEY])
 
 
-def fingerprints(docs: DataFrame) -> DataFrame:
+def fingerprints(docs: DataFrame, sketch: int | None = SKETCH) -> DataFrame:
     """doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next: one row per row of `docs`.
 
+    `sketch` None: fingerprints hold all anchors, so that both likenesses are exact; else the `sketch` with the smallest hashes, for which they are estimated.
     The next document is the one with the next greater doc_id; rows without an id come after the others, rows that share an id follow each other by their text's
     digest, and rows equal in both are interchangeable: each but the last is followed by its own copy. The last document is followed by the first, a single one by
     itself. A null text is empty. A text without words has an empty fingerprint. An empty table gives an empty result; other columns are ignored. Texts are sent
-    once, with equal rows joined before, and of the next document only the stretch that is put in; the keys, without texts, are stored in the checkpoint folder.
+    twice, as a row's own and as the next one's, with equal rows joined before: all their anchors would take more. The keys, without texts, are stored in the
+    checkpoint folder.
     """
     whole = F.coalesce(F.col("text").cast("string"), F.lit(""))
     long = F.col("doc_id").cast("long")
-    base = docs.select(long.isNull().alias("none"), F.coalesce(long, F.lit(0)).alias("id"), F.sha2(whole, 256).alias("digest"), whole.alias("text"))
+    base = docs.select(long.isNull().alias("none"), F.coalesce(long, F.lit(0)).alias("id"), F.unhex(F.sha2(whole, 256)).alias("digest"), whole.alias("text"))
     counted = base.groupBy(*KEY, F.floor(F.char_length("text") / 4).cast("int").alias("cut")).agg(F.count("*").alias("copies"))
     links = successors(counted)
-    rows = with_sketch(base, "text", "sketch").dropDuplicates(KEY)
+    rows = base.dropDuplicates(KEY)
     follower = [F.col(f"next_{c}") == F.col(f"r.{c}") for c in KEY]
-    put_in = links.alias("l").join(rows.alias("r"), reduce(Column.__and__, follower)).select(
-        *[F.col(f"l.{c}") for c in KEY], "cut", "copies", F.expr("substring(r.text, 1, cut)").alias("put_in"), F.col("r.sketch").alias("next_sketch"))
-    both = rows.join(put_in, KEY).withColumn("left", F.explode(F.expr("sequence(copies - 1, 0, -1)")))
-    both = both.withColumn("n_chars", F.char_length("text"))
+    after = links.alias("l").join(rows.alias("r"), reduce(Column.__and__, follower)).select(
+        *[F.col(f"l.{c}") for c in KEY], "cut", "copies", F.col("r.text").alias("after"))
+    both = rows.join(after, KEY)
+    both = with_sketch(with_sketch(both, "text", "sketch", sketch=sketch), "after", "next_sketch", sketch=sketch)
+    both = both.withColumn("left", F.explode(F.expr("sequence(copies - 1, 0, -1)"))).withColumn("n_chars", F.char_length("text"))
     own = F.col("left") > 0
-    both = both.withColumn("edited", F.concat(F.expr("substring(text, 1, n_chars - cut)"), F.when(own, F.expr("substring(text, 1, cut)")).otherwise(F.col("put_in"))))
+    both = both.withColumn("after", F.when(own, F.col("text")).otherwise(F.col("after")))
     both = both.withColumn("next_sketch", F.when(own, F.col("sketch")).otherwise(F.col("next_sketch")))
+    both = both.withColumn("edited", F.expr("concat(substring(text, 1, n_chars - cut), substring(after, 1, cut))")).drop("text", "after")
     both = both.withColumn("edited_sha256", F.sha2("edited", 256))
-    both = with_sketch(both.drop("text", "put_in"), "edited", "edited_sketch").drop("edited")
-    both = with_likeness(with_likeness(both, "sketch", "edited_sketch", "near_edited"), "sketch", "next_sketch", "near_next")
+    both = with_sketch(both, "edited", "edited_sketch", sketch=sketch).drop("edited")
+    both = with_likeness(with_likeness(both, "sketch", "edited_sketch", "near_edited", sketch), "sketch", "next_sketch", "near_next", sketch)
     return both.select(
         F.when(~F.col("none"), F.col("id")).alias("doc_id"), F.col("n_chars").cast("long").alias("n_chars"), "edited_sha256", as_text("sketch").alias("fingerprint"),
         as_text("edited_sketch").alias("edited_fingerprint"), "near_edited", "near_next",

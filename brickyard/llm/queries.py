@@ -93,4 +93,4 @@ def whiten_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op13_closed_syncmers")
 def fingerprint_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return fingerprints.fingerprints(table(spark, sf_dir, "documents"))
+    return fingerprints.fingerprints(table(spark, sf_dir, "documents"), sketch=None)
