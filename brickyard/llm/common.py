@@ -193,21 +193,16 @@ def components(links: DataFrame, left: str = "a", right: str = "b") -> DataFrame
     """(id, component_id) of every id in `links`: the smallest id that it reaches.
 
     Large-star and small-star by turns (Kiveris et al. 2014): a vertex passes its smallest neighbour to its neighbours,
-    so no neighbourhood is listed and rounds are logarithmic. Each round is a stored table; it ends when no pair changes.
+    so no neighbourhood is listed and rounds are logarithmic. Each round stores the pairs and every vertex's smallest neighbour; all pairs are stars, and the
+    result stands, when no vertex that has a smaller neighbour has another one.
     """
     pairs = written(links.select(F.greatest(left, right).alias("u"), F.least(left, right).alias("v")).where("u <> v").distinct())
-    seen = None
     while True:
         both = pairs.unionByName(pairs.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        large = large.where("u <> v").distinct()
+        least = written(both.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n")))
+        if not least.where("m < u AND n > 1").limit(1).count():
+            return least.select(F.col("u").alias("id"), F.least("u", "m").alias("component_id"))
+        large = both.where("v > u").join(least.select("u", F.least("u", "m").alias("m")), "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         down = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(down, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        pairs = written(small.unionByName(down.select("u", F.col("m").alias("v"))).where("u <> v").distinct())
-        state = pairs.agg(F.count("*").alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("h")).first()
-        if state == seen:
-            break
-        seen = state
-    ends = F.explode(F.array(F.struct(F.col("u").alias("id"), "v"), F.struct(F.col("v").alias("id"), "v"))).alias("end")
-    return pairs.select(ends).groupBy("end.id").agg(F.min("end.v").alias("component_id"))
+        ends = F.explode(F.array_distinct(F.array("u", "v"))).alias("u")
+        pairs = written(large.join(down, "u").select(ends, F.col("m").alias("v")).where("u <> v").distinct())

@@ -18,6 +18,7 @@ from __future__ import annotations
 import itertools
 import math
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -285,9 +286,15 @@ def plausible(pairs: DataFrame, own: DataFrame, percent: int) -> DataFrame:
     return pairs.join(left, "a").join(right, "b").select("a", "b", "n_a", "n_b", "x", "y").mapInArrow(run, "a long, b long, possible boolean")
 
 
+def some(rows: DataFrame) -> bool:
+    return rows.limit(1).count() > 0
+
+
 def linked(pairs: DataFrame, own: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame:
     """(a, b, similar) of pairs of classes. Whole sets are fetched for pairs that the sketches don't rule out."""
     near = written(plausible(pairs, own, percent))
+    if not some(near.where("possible")):
+        return near.select("a", "b", F.col("possible").alias("similar"))
     names = written(near.where("possible").select(F.explode(F.array("a", "b")).alias("class")).distinct())
     sets = written(sets_of(texts, names, k))
     left = sets.select(F.col("class").alias("a"), F.col("items").alias("own"))
@@ -380,29 +387,46 @@ def unsettled(star: DataFrame, wrong: DataFrame, labels: DataFrame) -> DataFrame
 
 
 def similar_classes(texts: DataFrame, own: DataFrame, k: int, percent: int) -> DataFrame:
-    """(a, b): links between classes that join everything that is connected. `own`: class, n and sketches."""
+    """(id, component_id) of the classes that are linked with others. `own`: class, n and sketches.
+
+    Components found so far stand for all links in them: later links join those, and without such links nothing is computed anew.
+    """
     levels = LEVELS if percent >= 88 else LOOSE
-    star = written(starred(first_stars(texts, k, percent, levels[0])))
-    tried = linked(star.select(F.col("p").alias("a"), F.col("x").alias("b")).distinct(), own, texts, k, percent)
-    links = tried.where("similar").select("a", "b")
-    for depth in range(len(levels)):
+    labels, fresh = None, []
+
+    def found(pairs: DataFrame) -> DataFrame:
+        tried = linked(pairs, own, texts, k, percent)
+        more = tried.where("similar").select("a", "b")
+        if labels is None or some(more):
+            fresh.append(more)
+        return tried
+
+    def components_now() -> DataFrame:
+        known = [] if labels is None else [labels.select(F.col("id").alias("a"), F.col("component_id").alias("b"))]
+        return components(reduce(DataFrame.unionByName, known + fresh)) if fresh else labels
+
+    for depth, level in enumerate(levels):
+        if depth == 0:
+            star = written(starred(first_stars(texts, k, percent, level)))
+        else:
+            star = written(starred(finer_stars(sets_of(texts, common, k), percent, level)))
+        tried = found(star.select(F.col("p").alias("a"), F.col("x").alias("b")).distinct())
+        labels, fresh = components_now(), []
         wrong = tried.where("NOT similar").select("a", "b")
-        if not wrong.limit(1).count():
+        if not some(wrong):
             break
-        rest = written(unsettled(star, wrong, components(links)))
+        rest = written(unsettled(star, wrong, labels))
         last = depth + 1 == len(levels)
         listed = rest if last else rest.where(F.col("n") <= LISTED)
         left, right = (listed.select("sign", F.col("class").alias(c), F.col("label").alias("label_" + c)).join(own.select(*sketch_columns(c)), c) for c in "ab")
         cross = left.join(right, (left["sign"] == right["sign"]) & F.expr("a < b AND label_a <> label_b") & possible(percent)).select("a", "b").distinct()
-        more = linked(written(cross.join(tried.select("a", "b"), ["a", "b"], "left_anti")), own, texts, k, percent)
-        links = written(links.unionByName(more.where("similar").select("a", "b")))
+        untried = written(cross.join(tried.select("a", "b"), ["a", "b"], "left_anti"))
+        if some(untried):
+            found(untried)
         common = written(rest.where(F.col("n") > LISTED).select("class").distinct())
-        if last or not common.limit(1).count():
+        if last or not some(common):
             break
-        star = written(starred(finer_stars(sets_of(texts, common, k), percent, levels[depth + 1])))
-        tried = linked(star.select(F.col("p").alias("a"), F.col("x").alias("b")).distinct(), own, texts, k, percent)
-        links = links.unionByName(tried.where("similar").select("a", "b"))
-    return links
+    return components_now()
 
 
 def join_components(docs: DataFrame, k: int = 3, percent: int = 90) -> DataFrame:
@@ -417,7 +441,7 @@ def join_components(docs: DataFrame, k: int = 3, percent: int = 90) -> DataFrame
     rows = written(sketch(texts, k))
     kept = [F.first(c).alias(c) for c in (*(f"s{i}" for i in range(PARITY)), "flips")]
     own = written(rows.where("n_shingles > 0").groupBy("class").agg(F.min("doc_id").alias("least"), F.first("n_shingles").alias("n"), *kept))
-    labels = components(similar_classes(texts.select("text"), own, k, percent))
+    labels = similar_classes(texts.select("text"), own, k, percent)
     named = own.join(labels, F.col("class") == F.col("id"), "left").select("class", F.coalesce("component_id", "class").alias("label"), "least")
     group = named.groupBy("label").agg(F.min("least").alias("component_id"))
     by_class = named.join(group, "label").select("class", "component_id")
