@@ -26,7 +26,7 @@ CUT_BITS = 9
 #: Bytes that the rolling hash sees.
 WINDOW = 16
 #: Bytes of text that are encoded together.
-TOGETHER = 1 << 20
+TOGETHER = 1 << 18
 #: Entries of a worker's two stores. A full store starts anew: what it held is encoded again; results don't depend on it.
 CHUNKS, WORDS = 4_000, 300_000
 SPACE = re.compile(rb"[\x20\x09-\x0D]")

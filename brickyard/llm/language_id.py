@@ -25,6 +25,8 @@ SEEN = 12_000
 BUCKETS, WIDTH, EPOCHS, BATCH, RATE = 1 << 15, 10, 6, 16, 4.0
 #: Share of calibration rows, with the right language on top, that the threshold may reject; and the threshold's ceiling.
 MISSED, CEILING = 0.001, 0.5
+#: Bytes of text that are predicted together: their features take some hundred times as much memory.
+TOGETHER = 1 << 18
 UNKNOWN = "und"
 LETTER = regex.compile(r"\p{L}")
 
@@ -178,7 +180,7 @@ def fit(docs: DataFrame, seed: int = 3) -> Model:
 
 def answers(model: Model, column: pa.Array) -> tuple[list[str], list[float], list[bool]]:
     languages, scores, accepted = [], [], []
-    for part in steps(pa.RecordBatch.from_arrays([column], ["text"]), "text"):
+    for part in steps(pa.RecordBatch.from_arrays([column], ["text"]), "text", TOGETHER):
         texts = part.column("text").to_pylist()
         known = np.array([bool(model.languages) and t is not None and LETTER.search(t) is not None for t in texts], bool)
         if not known.any():

@@ -14,8 +14,20 @@ from brickyard.llm.queries import tokenizer_path
 from brickyard.session import written
 
 
+#: Rows of a batch that a Python worker gets: a few megabytes of text.
+BATCH_ROWS = 2000
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Whoever writes a stage's result plans it anew by the session's settings, so the limit is set there, unless a smaller one is."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name)) <= BATCH_ROWS:
+        spark.conf.set(name, str(BATCH_ROWS))
+
+
 def languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is recognised; those that the calibrated threshold rejects go. Columns named as the model's results keep their own values."""
+    small_batches(spark)
     own = {c: f"__own_{c}" for c in docs.columns}
     found = language_id.predict(docs.withColumnsRenamed(own).withColumn("text", F.col("__own_text")), language_id.fit(docs))
     return found.where("accepted").select(*[F.col(name).alias(c) for c, name in own.items()])
@@ -38,6 +50,7 @@ def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The final table: doc_id, n_tokens and digests of the ids and the decoded text."""
+    small_batches(spark)
     return bpe.encode_digests(docs, tokenizer_path())
 
 
