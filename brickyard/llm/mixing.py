@@ -18,6 +18,8 @@ from brickyard.session import written
 WEIGHTS = (3, 1, 2)
 #: The dynamic programme closes this many words exactly; what lies above goes to one more document of each length first.
 REACH = 1 << 16
+#: Rows of the table of last hashes, one for each source and length, that `take` sends to all tasks; a larger one is joined as Spark sees fit.
+SENT = 1 << 16
 
 
 def targets(sizes: DataFrame, share: float, cap: float, weights: tuple[int, ...]) -> DataFrame:
@@ -99,16 +101,14 @@ def word_count() -> Column:
     return F.regexp_count(F.coalesce("text", F.lit("")), F.lit(f"[^{SPACES}]+")).cast("long")
 
 
-def mix_sources(docs: DataFrame, share: float = 1.5, cap: int = 2, weights: tuple[int, ...] = WEIGHTS, seed: int = 5) -> DataFrame:
-    """doc_id, h, size, source_size, target, copies, taken: one row per row of `docs`.
+def stratum() -> Column:
+    """The source as a key without nulls, null last."""
+    return F.concat(F.when(F.col("source").isNull(), "n").otherwise("a"), F.coalesce(F.col("source").cast("string"), F.lit("")))
 
-    Size: words `[^\\x20\\x09-\\x0D]+` (null text: 0). Sources are ordered by code point, null last and a source of its own. `copies` is how often the mix
-    takes the document (0 to `cap`), `taken` the words. Documents without words are in no budget: they come as often as the source has whole passes.
-    Rows equal in id, text and source are interchangeable. An empty table gives an empty result; other columns are ignored. A source's histogram has one row
-    per distinct length and is fitted in one task; documents of one length are ranked bucket by bucket, so neither a hot source nor a hot length meets in one task.
-    """
-    stratum = F.concat(F.when(F.col("source").isNull(), "n").otherwise("a"), F.coalesce(F.col("source").cast("string"), F.lit("")))
-    stored = written(docs.select(F.col("doc_id").cast("long").alias("doc_id"), word_count().alias("size"), stratum.alias("stratum"), row_hash(seed).alias("h")))
+
+def placed(docs: DataFrame, share: float, cap: int, weights: tuple[int, ...], seed: int) -> DataFrame:
+    """doc_id, h, stratum, size, source_size, target, passes, extra, place: a row comes `passes` times, and once more if its place among its length is below `extra`."""
+    stored = written(docs.select(F.col("doc_id").cast("long").alias("doc_id"), word_count().alias("size"), stratum().alias("stratum"), row_hash(seed).alias("h")))
     bits = bits_for(stored.count())
     histogram = written(stored.groupBy("stratum", "size").agg(F.count("*").alias("n")))
     sizes = histogram.groupBy("stratum").agg(F.sum(F.col("size") * F.col("n")).alias("source_size"))
@@ -119,20 +119,45 @@ def mix_sources(docs: DataFrame, share: float = 1.5, cap: int = 2, weights: tupl
                      .applyInPandas(plan, "stratum string, size long, extra long"))
     place = ranked(stored.withColumn("bucket", bucket_of(F.col("h"), bits)), ["stratum", "size"], "bucket", ["h", "doc_id"], "place")
     picked = place.join(fitted, ["stratum", "size"], "left").join(goal.drop("budget"), "stratum")
-    copies = (F.col("passes") + F.when(F.col("place") < F.col("extra"), 1).otherwise(0)).cast("long")
-    return picked.select("doc_id", "h", "size", "source_size", "target", copies.alias("copies"), (copies * F.col("size")).alias("taken"))
+    return picked.withColumn("extra", F.coalesce("extra", F.lit(0)))
+
 
+def mix_sources(docs: DataFrame, share: float = 1.5, cap: int = 2, weights: tuple[int, ...] = WEIGHTS, seed: int = 5) -> DataFrame:
+    """doc_id, h, size, source_size, target, copies, taken: one row per row of `docs`.
+
+    Size: words `[^\\x20\\x09-\\x0D]+` (null text: 0). Sources are ordered by code point, null last and a source of its own. `copies` is how often the mix
+    takes the document (0 to `cap`), `taken` the words. Documents without words are in no budget: they come as often as the source has whole passes.
+    Rows equal in id, text and source are interchangeable. An empty table gives an empty result; other columns are ignored. A source's histogram has one row
+    per distinct length and is fitted in one task; documents of one length are ranked bucket by bucket, so neither a hot source nor a hot length meets in one task.
+    """
+    copies = (F.col("passes") + F.when(F.col("place") < F.col("extra"), 1).otherwise(0)).cast("long")
+    return placed(docs, share, cap, weights, seed).select(
+        "doc_id", "h", "size", "source_size", "target", copies.alias("copies"), (copies * F.col("size")).alias("taken"))
 
-def take(docs: DataFrame, seed: int = 5, **options) -> DataFrame:
-    """The mix: the rows of `docs`, each as often as the mix takes it (not at all, once or twice)."""
-    copies = written(mix_sources(docs, seed=seed, **options).groupBy(F.col("h").alias("__h"), F.col("size").alias("__size")).agg(
-        F.sum("copies").alias("__sum"), F.min("copies").alias("__min"), F.max("copies").alias("__max")).where("__sum > 0"))
-    keyed = docs.withColumn("__h", row_hash(seed)).withColumn("__size", word_count()).join(copies, ["__h", "__size"])
 
-    def times(rows: DataFrame, n: str) -> DataFrame:
-        return rows.where(F.col(n) > 0).withColumn("__n", F.explode(F.sequence(F.lit(1).cast("long"), F.col(n)))).select(*docs.columns)
+def take(docs: DataFrame, share: float = 1.5, cap: int = 2, weights: tuple[int, ...] = WEIGHTS, seed: int = 5) -> DataFrame:
+    """The mix: the rows of `docs`, each as often as the mix takes it (not at all, once or twice).
 
-    if not copies.where("__min < __max").limit(1).count():
-        return times(keyed, "__max")
-    tied = written(keyed.where("__min < __max").dropDuplicates(["__h", "__size"]))
-    return times(keyed.where("__min = __max"), "__max").unionByName(times(tied, "__sum"))
+    Places rise with the hash, so one hash for each source and length tells which rows come once more, and the texts stay where they are unless that table is
+    large. Rows equal in id, text and source share a hash; where only some of them come once more, one stands for all.
+    """
+    more = F.count_if(F.col("place") < F.col("extra"))
+    by_hash = placed(docs, share, cap, weights, seed).groupBy("stratum", "size", "h").agg(F.first("passes").alias("passes"), F.count("*").alias("rows"), more.alias("more"))
+    last = F.max(F.when(F.col("more") > 0, F.struct("h", "rows", "more")))
+    cuts = written(by_hash.groupBy("stratum", "size").agg(F.first("passes").alias("passes"), last.alias("last")).select(
+        F.col("stratum").alias("__stratum"), F.col("size").alias("__size"), F.col("passes").alias("__passes"),
+        F.col("last.h").alias("__last"), F.col("last.rows").alias("__rows"), F.col("last.more").alias("__more")))
+    small = cuts.limit(SENT + 1).count() <= SENT
+    keyed = docs.withColumn("__h", row_hash(seed)).withColumn("__size", word_count()).withColumn("__stratum", stratum())
+    keyed = keyed.join(F.broadcast(cuts) if small else cuts, ["__stratum", "__size"])
+    split = F.coalesce((F.col("__h") == F.col("__last")) & (F.col("__more") < F.col("__rows")), F.lit(False))
+
+    def times(rows: DataFrame, n: Column) -> DataFrame:
+        counted = rows.withColumn("__n", n.cast("long")).where("__n > 0")
+        return counted.withColumn("__i", F.explode(F.sequence(F.lit(1).cast("long"), F.col("__n")))).select(*docs.columns)
+
+    copies = F.col("__passes") + F.when(F.col("__h") <= F.col("__last"), 1).otherwise(0)
+    if not cuts.where("__more < __rows").limit(1).count():
+        return times(keyed, copies)
+    tied = written(keyed.where(split).dropDuplicates(["__h", "__size"]))
+    return times(keyed.where(~split), copies).unionByName(times(tied, F.col("__passes") * F.col("__rows") + F.col("__more")))

@@ -377,13 +377,23 @@ def finer_stars(sets: DataFrame, percent: int, level: Level) -> DataFrame:
 
 
 def unsettled(star: DataFrame, wrong: DataFrame, labels: DataFrame) -> DataFrame:
-    """(sign, class, label, n) of signatures with more than one component, from the star rows and the pairs in them that failed."""
+    """(sign, class, label, n, least) of signatures with more than one component, from the star rows and the pairs in them that failed; `least` is the smallest
+    of the n classes. The only pair of two classes is a star, so it has been tried."""
     open_signs = star.join(wrong, (F.col("p") == F.col("a")) & (F.col("x") == F.col("b")), "left_semi").select("sign").distinct()
     rows = star.join(open_signs, "sign")
     members = rows.select("sign", F.explode(F.array("x", "p")).alias("class")).distinct()
     members = members.join(labels, F.col("class") == F.col("id"), "left").select("sign", "class", F.coalesce("component_id", "class").alias("label"))
-    spread = members.groupBy("sign").agg(F.min("label").alias("l"), F.max("label").alias("h"), F.count("*").alias("n")).where("l < h").select("sign", "n")
-    return members.join(spread, "sign")
+    spread = members.groupBy("sign").agg(F.min("label").alias("l"), F.max("label").alias("h"), F.count("*").alias("n"), F.min("class").alias("least"))
+    return members.join(spread.where("l < h AND n > 2").select("sign", "n", "least"), "sign")
+
+
+def families(rest: DataFrame) -> DataFrame:
+    """(family, class, label): near copies share many signatures, whose classes are much the same. Those with one smallest class become one family where that has
+    fewer pairs than they have one by one; else each is a family by itself. Every pair of a signature is in a family."""
+    together = rest.groupBy("least", "class").agg(F.first("label").alias("label"), F.sum("n").alias("apart"))
+    fewer = written(together.groupBy("least").agg(F.count("*").alias("size"), F.sum("apart").alias("apart")).where("size * size <= apart").select("least"))
+    joined = together.join(fewer, "least", "left_semi").select(F.col("least").alias("family"), "class", "label")
+    return joined.unionByName(rest.join(fewer, "least", "left_anti").select(F.col("sign").alias("family"), "class", "label"))
 
 
 def similar_classes(texts: DataFrame, own: DataFrame, k: int, percent: int) -> DataFrame:
@@ -417,9 +427,9 @@ def similar_classes(texts: DataFrame, own: DataFrame, k: int, percent: int) -> D
             break
         rest = written(unsettled(star, wrong, labels))
         last = depth + 1 == len(levels)
-        listed = rest if last else rest.where(F.col("n") <= LISTED)
-        left, right = (listed.select("sign", F.col("class").alias(c), F.col("label").alias("label_" + c)).join(own.select(*sketch_columns(c)), c) for c in "ab")
-        cross = left.join(right, (left["sign"] == right["sign"]) & F.expr("a < b AND label_a <> label_b") & possible(percent)).select("a", "b").distinct()
+        listed = families(rest if last else rest.where(F.col("n") <= LISTED))
+        left, right = (listed.select("family", F.col("class").alias(c), F.col("label").alias("label_" + c)).join(own.select(*sketch_columns(c)), c) for c in "ab")
+        cross = left.join(right, (left["family"] == right["family"]) & F.expr("a < b AND label_a <> label_b") & possible(percent)).select("a", "b").distinct()
         untried = written(cross.join(tried.select("a", "b"), ["a", "b"], "left_anti"))
         if some(untried):
             found(untried)
