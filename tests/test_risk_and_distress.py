@@ -1,7 +1,10 @@
+import re
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from brickyard.functions.scalars import round_doubles
 from brickyard.operators import distress, risk
 
 
@@ -86,3 +89,18 @@ def test_classifier_metrics_with_ties(spark):
     assert r["roc_auc"] == pytest.approx(auc)
     assert r["avg_precision"] == pytest.approx(1 / 3 * 1 / 2 + 1 / 3 * 2 / 3 + 1 / 3 * 3 / 5)
     assert r["f1_score"] == pytest.approx(2 / 3) and r["accuracy"] == pytest.approx(4 / 6)
+
+
+def test_projection_compiles_and_spreads(spark):
+    """A generated method above 8,000 bytes is interpreted, and a small file is read by one task."""
+    holdings = spark.range(40).select((F.col("id") % 3).alias("portfolio_id"), F.col("id").alias("holding_id"), F.lit(1e6).alias("value"), F.lit(0.02).alias("drift"), F.lit(0.1).alias("vol")).coalesce(1)
+    adaptive = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        for made in (risk.project_values(holdings),):
+            text = spark._jvm.PythonSQLUtils.explainString(round_doubles(made)._jdf.queryExecution(), "codegen")
+            sizes = [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", text)]
+            assert sizes and max(sizes) < 8000, sizes
+            assert made.rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
