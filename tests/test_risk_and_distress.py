@@ -94,10 +94,11 @@ def test_classifier_metrics_with_ties(spark):
 def test_projection_compiles_and_spreads(spark):
     """A generated method above 8,000 bytes is interpreted, and a small file is read by one task."""
     holdings = spark.range(40).select((F.col("id") % 3).alias("portfolio_id"), F.col("id").alias("holding_id"), F.lit(1e6).alias("value"), F.lit(0.02).alias("drift"), F.lit(0.1).alias("vol")).coalesce(1)
+    macro = {"rate_hike": True, "rate_impact": [-0.01], "recession": True, "recession_impact": [-0.05]}
     adaptive = spark.conf.get("spark.sql.adaptive.enabled")
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
-        for made in (risk.project_values(holdings),):
+        for made in (risk.project_values(holdings), risk.project_values(holdings, macro=macro)):
             text = spark._jvm.PythonSQLUtils.explainString(round_doubles(made)._jdf.queryExecution(), "codegen")
             sizes = [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", text)]
             assert sizes and max(sizes) < 8000, sizes
