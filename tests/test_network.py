@@ -98,3 +98,13 @@ def test_unsettled_communities_are_an_error(spark):
     chain = spark.createDataFrame([(f"n{i:02d}", f"n{i + 1:02d}") for i in range(24)], "src string, dst string")
     with pytest.raises(RuntimeError):
         communities.communities(chain, max_rounds=1)
+
+
+def test_links_pair_sets_and_shuffle_no_pairs(spark):
+    """One busy neighbourhood: no row per owner pair and neighbourhood, and nothing is grouped by pairs."""
+    members = spark.createDataFrame([(f"o{i}", h) for i in range(30) for h in ("hot", f"h{i % 3}")] + [("alone", "far"), ("lost", None)], "owner string, neighborhood string")
+    links = ownership.owner_links(members, spark.createDataFrame([("o0",), ("alone",), ("lost",)], "owner string"))
+    assert "hashpartitioning(owner_a" not in links._jdf.queryExecution().executedPlan().toString()
+    got = {(r["owner_a"], r["owner_b"]): (r["weight"], r["shared_neighborhoods"]) for r in links.collect()}
+    assert got == {("o0", f"o{i}"): (2, ["h0", "hot"]) if i % 3 == 0 else (1, ["hot"]) for i in range(1, 30)}
+    assert links.schema["weight"].dataType.simpleString() == "bigint"
