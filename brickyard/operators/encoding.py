@@ -13,6 +13,7 @@ from pyspark.sql.window import Window
 from brickyard import settings
 from brickyard.functions.quantiles import null_safe_join, quantile_row, running_totals
 from brickyard.functions.scalars import has
+from brickyard.session import written
 
 C = F.col
 
@@ -39,7 +40,7 @@ def label_codes(df: DataFrame, column: str) -> DataFrame:
 
 
 def label_encode(df: DataFrame, column: str) -> DataFrame:
-    codes = label_codes(df, column).select(C("value").alias("__value"), C("code").alias(f"{column}_encoded"))
+    codes = written(label_codes(df, column)).select(C("value").alias("__value"), C("code").alias(f"{column}_encoded"))
     return df.join(codes, C(column).cast("string") == C("__value"), "left").drop("__value")
 
 
@@ -49,7 +50,7 @@ def target_encode(
 ) -> DataFrame:
     """Smoothed target means: out of fold (`_target_encoded`) and over all rows (`_target_encoded_global`).
 
-    One aggregation per (value, fold). The out-of-fold sums are the value's totals minus its own fold, so there is
+    One aggregation per (value, fold), stored, so Spark knows its size and needn't shuffle the rows to join it. The out-of-fold sums are the value's totals minus its own fold, so there is
     no loop over folds. The fold is a fixed function of `fold_key` (or of the whole row).
     """
     key = F.xxhash64(*[C(c) for c in df.columns]) if fold_key is None else C(fold_key)
@@ -73,12 +74,13 @@ def target_encode(
         F.when(unseen | (C("__all_c") == 0), C("__mean")).otherwise((C("__all_s") + prior) / (C("__all_c") + smoothing))
         .alias(f"{column}_target_encoded_global"),
     )
-    return null_safe_join(rows, encoded, [column, "__fold"]).drop("__fold")
+    return null_safe_join(rows, written(encoded), [column, "__fold"]).drop("__fold")
 
 
 def missing_fractions(df: DataFrame) -> DataFrame:
-    """Share of NULLs of every column, one row, one pass."""
-    return df.agg(*[F.avg(C(c).isNull().cast("double")).alias(c) for c in df.columns])
+    """Share of NULLs of every column, one row, one pass, with one number a column to add up."""
+    counts = df.agg(F.count(F.lit(1)).alias("__rows"), *[F.count(C(c)).alias(c) for c in df.columns])
+    return counts.select(*[F.try_divide(C("__rows") - C(c), C("__rows")).alias(c) for c in df.columns])
 
 
 def column_modes(df: DataFrame, columns: list[str]) -> DataFrame:

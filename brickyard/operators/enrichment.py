@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -10,6 +12,10 @@ from brickyard.functions.quantiles import aggregate_with_quantiles
 from brickyard.functions.scalars import haversine_km, has, ratio
 
 
+def _as_is(df: DataFrame) -> DataFrame:
+    return df
+
+
 def merge_parcels(sales: DataFrame, parcels: DataFrame) -> DataFrame:
     """Sales with their parcel, left join on the trimmed id; clashing parcel columns get the suffix `_pluto`."""
     if not (has(sales, "bbl") and has(parcels, "bbl")):
@@ -43,24 +49,26 @@ def zip_permit_activity(permits: DataFrame) -> DataFrame:
     )
 
 
-def with_neighborhood_context(sales: DataFrame, exact: bool = True) -> DataFrame:
+def with_neighborhood_context(sales: DataFrame, exact: bool = True, settle: Callable[[DataFrame], DataFrame] = _as_is) -> DataFrame:
+    """Sales with their neighbourhood's level. `settle` may store tables that are read again: prices by neighbourhood, and the statistics."""
     if not has(sales, "neighborhood", "sale_price"):
         return sales
-    out = sales.join(neighborhood_stats(sales, exact=exact), "neighborhood", "left")
+    prices = settle(sales.select("neighborhood", "sale_price"))
+    out = sales.join(settle(neighborhood_stats(prices, exact=exact)), "neighborhood", "left")
     return out.withColumn("price_vs_neighborhood", ratio(F.col("sale_price"), F.col("neighborhood_avg_price")))
 
 
-def with_permit_context(sales: DataFrame, permits: DataFrame | None) -> DataFrame:
+def with_permit_context(sales: DataFrame, permits: DataFrame | None, settle: Callable[[DataFrame], DataFrame] = _as_is) -> DataFrame:
     if permits is None or not (has(sales, "zip_code") and has(permits, "zip_code")):
         return sales
     counts = (permits.where(F.col("zip_code").isNotNull())
               .groupBy(F.trim(F.col("zip_code").cast("string")).alias("zip_code"))
               .agg(F.count(F.lit(1)).alias("neighborhood_permit_activity")))
-    out = sales.withColumn("zip_code", F.trim(F.col("zip_code").cast("string"))).join(counts, "zip_code", "left")
+    out = sales.withColumn("zip_code", F.trim(F.col("zip_code").cast("string"))).join(settle(counts), "zip_code", "left")
     return out.fillna(0, ["neighborhood_permit_activity"])
 
 
-def with_violation_context(sales: DataFrame, violations: DataFrame | None) -> DataFrame:
+def with_violation_context(sales: DataFrame, violations: DataFrame | None, settle: Callable[[DataFrame], DataFrame] = _as_is) -> DataFrame:
     """Violations per borough; the feed's key is `boroid` or, failing that, `boroughid`."""
     if violations is None or not has(sales, "borough"):
         return sales
@@ -69,7 +77,7 @@ def with_violation_context(sales: DataFrame, violations: DataFrame | None) -> Da
         return sales
     counts = (violations.where(F.col(key).isNotNull()).groupBy(F.col(key).cast("string").alias("__boro"))
               .agg(F.count(F.lit(1)).alias("borough_violation_count")))
-    joined = sales.join(counts, F.col("borough").cast("string") == F.col("__boro"), "left").drop("__boro")
+    joined = sales.join(settle(counts), F.col("borough").cast("string") == F.col("__boro"), "left").drop("__boro")
     return joined.fillna(0, ["borough_violation_count"])
 
 

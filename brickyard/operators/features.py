@@ -13,6 +13,8 @@ from brickyard.operators import encoding, enrichment
 from brickyard.session import written
 
 C = F.col
+#: Features that are 0, not null, for a sale without a parcel.
+FLAGS = ("is_manhattan", "is_recently_renovated")
 LOG_COLUMNS = ["assesstot", "assessland", "bldgarea", "lotarea"]
 
 
@@ -54,9 +56,30 @@ def add_property_features(df: DataFrame, as_of: dt.date = settings.AS_OF) -> Dat
 
 
 def add_market_context(sales: DataFrame, permits: DataFrame | None, violations: DataFrame | None) -> DataFrame:
-    out = enrichment.with_neighborhood_context(sales)
-    out = enrichment.with_permit_context(out, permits)
-    return enrichment.with_violation_context(out, violations)
+    """Neighbourhood, permit and violation context. The statistics are stored ahead of their joins, so Spark knows how small they are and doesn't shuffle the wide sales."""
+    out = enrichment.with_neighborhood_context(sales, settle=written)
+    out = enrichment.with_permit_context(out, permits, settle=written)
+    return enrichment.with_violation_context(out, violations, settle=written)
+
+
+def with_parcels(parcels: DataFrame, sales: DataFrame, as_of: dt.date = settings.AS_OF) -> DataFrame:
+    """Sales with their parcel, geography and property features.
+
+    What comes from a parcel's own columns and is null without a parcel is worked out once a parcel, ahead of the join.
+    """
+
+    def described(df: DataFrame) -> DataFrame:
+        return add_property_features(add_geography(df), as_of)
+
+    wanted = described(enrichment.merge_parcels(sales, parcels)).columns
+    early = []
+    if has(sales, "bbl") and has(parcels, "bbl"):
+        clash = {c: f"__own_{c}" for c in parcels.columns if c in sales.columns and c != "bbl"}  # the sales' column of this name counts
+        made = described(parcels.withColumnsRenamed(clash))
+        early = [c for c in made.columns if c not in parcels.columns and c not in sales.columns and c not in FLAGS and c not in clash.values()]
+        parcels = made.select(*[C(clash[c]).alias(c) if c in clash else C(c) for c in parcels.columns], *early)
+    merged = enrichment.merge_parcels(sales, parcels).withColumnsRenamed({c: f"__early_{c}" for c in early})
+    return described(merged).select(*[C(f"__early_{c}").alias(c) if c in early else C(c) for c in wanted])
 
 
 def base_features(
@@ -64,9 +87,7 @@ def base_features(
     as_of: dt.date = settings.AS_OF,
 ) -> DataFrame:
     """Merge, geography, property and market features, before encoding."""
-    merged = enrichment.merge_parcels(sales, parcels)
-    merged = add_property_features(add_geography(merged), as_of)
-    return add_market_context(merged, permits, violations)
+    return add_market_context(with_parcels(parcels, sales, as_of), permits, violations)
 
 
 def engineer_features(
@@ -75,10 +96,10 @@ def engineer_features(
 ) -> DataFrame:
     """The whole feature table: merged, encoded and imputed.
 
-    Encoding needs category lists, imputation the gaps and medians of the encoded table. Both tables are written once, so
+    Context and encoding need small statistics of the merged table, imputation the gaps and medians of the encoded one. Both tables are written once, so
     that these small aggregates read single columns instead of repeating the joins.
     """
-    out = written(base_features(parcels, sales, permits, violations, as_of))
+    out = add_market_context(written(with_parcels(parcels, sales, as_of)), permits, violations)
     if has(out, "borough_name"):
         out = encoding.one_hot(out, "borough_name")
     if has(out, "building_class_category"):

@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from brickyard.operators import encoding, features
+from brickyard.operators import encoding, enrichment, features
 
 
 def test_age_and_renovation_edges(spark):
@@ -69,3 +69,46 @@ def test_principal_components(spark):
     want = z @ vectors[:, ::-1][:, 0]
     got = np.array([r[0] for r in out.select("pca_1").collect()])
     assert np.allclose(np.abs(got), np.abs(want), atol=1e-6)
+
+
+def _feeds(spark):
+    parcels = spark.createDataFrame(
+        [("1", 1, "here", 40.75, -73.97, 1950.0, 1990.0, 200.0, 100.0, 50.0, 1e6, 12.0), ("2", 2, "there", 40.8, -73.9, None, None, 0.0, 0.0, None, None, None)],
+        "bbl string, borocode int, address string, latitude double, longitude double, yearbuilt double, yearalter1 double, bldgarea double, lotarea double, comarea double, assesstot double, numfloors double")
+    sales = spark.createDataFrame(
+        [("1", 1, "a", "00001", "x", 5e5, 100.0), ("1", 1, "a", "00002", "y", 7e5, 0.0), ("2", 2, None, "00001", None, 9e5, None), ("9", 2, "b", None, "z", 3e5, 50.0), (None, None, "b", "00009", "z", 4e5, 80.0)],
+        "bbl string, borough int, neighborhood string, zip_code string, address string, sale_price double, gross_square_feet double")
+    permits = spark.createDataFrame([("00001",), ("00001",), (None,)], "zip_code string")
+    violations = spark.createDataFrame([("1",), ("2",), ("2",), (None,)], "boroid string")
+    return parcels, sales, permits, violations
+
+
+def test_parcel_features_ahead_of_the_join_change_nothing(spark):
+    parcels, sales, *_ = _feeds(spark)
+    plain = features.add_property_features(features.add_geography(enrichment.merge_parcels(sales, parcels)))
+    early = features.with_parcels(parcels, sales)
+    assert early.columns == plain.columns and early.schema == plain.schema
+    assert sorted(map(str, early.collect())) == sorted(map(str, plain.collect()))
+    named = sales.withColumn("latitude", F.lit(40.0)).withColumn("building_age", F.lit(1.0))  # the sales' own columns count
+    plain = features.add_property_features(features.add_geography(enrichment.merge_parcels(named, parcels)))
+    early = features.with_parcels(parcels, named)
+    assert early.columns == plain.columns and sorted(map(str, early.collect())) == sorted(map(str, plain.collect()))
+
+
+def test_small_statistics_shuffle_no_sales(spark):
+    """The joins know how small the statistics are, so the wide sales stay where they are."""
+    parcels, sales, permits, violations = _feeds(spark)
+    context = features.add_market_context(sales, permits, violations)
+    encoded = encoding.target_encode(encoding.label_encode(sales, "address"), "neighborhood")
+    for made in (context, encoded):
+        plan = made._jdf.queryExecution().sparkPlan().toString()
+        assert "SortMergeJoin" not in plan and "BroadcastHashJoin" in plan
+    got = {(r["bbl"], r["sale_price"]): (r["neighborhood_sales_volume"], r["neighborhood_permit_activity"], r["borough_violation_count"]) for r in context.collect()}
+    assert got == {("1", 5e5): (2, 2, 1), ("1", 7e5): (2, 0, 1), ("2", 9e5): (None, 2, 2), ("9", 3e5): (2, 0, 2), (None, 4e5): (2, 0, 0)}
+
+
+def test_missing_fractions_count(spark):
+    df = spark.createDataFrame([(1.0, "a"), (None, "b"), (None, None), (4.0, None)], "x double, t string")
+    plan = encoding.missing_fractions(df)
+    assert plan.first().asDict() == {"x": 0.5, "t": 0.5} and encoding.missing_fractions(df.limit(0)).first().asDict() == {"x": None, "t": None}
+    assert "avg(" not in plan._jdf.queryExecution().optimizedPlan().toString()  # two numbers a column pass the fields of one compiled method
